@@ -5,10 +5,14 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The white space that separates words: space and \t \n \v \f \r, which is what bytes.split() uses.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -54,3 +58,33 @@ def runs(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") ->
             total += size
         if at < batch.num_rows:
             yield batch.slice(at)
+
+
+def text_hash(text: bytes) -> int:
+    """What tells the texts of rows with one doc_id apart, as a signed long."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(text)).view(np.int64))
+
+
+def squeezed(docs: DataFrame) -> DataFrame:
+    """docs with text compressed to `packed` (null stays null) and `text_key`, its hash, to be shuffled cheaply."""
+    schema = T.StructType([f for f in docs.schema.fields if f.name != "text"]).add("packed", T.BinaryType()).add("text_key", T.LongType())
+    names = [f.name for f in schema.fields[:-2]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
+        for batch in runs(batches, 8 << 20):
+            raw = batch.column("text").cast(pa.binary()).to_pylist()
+            columns = [pa.array([None if x is None else pack(x) for x in raw], pa.binary()), pa.array([text_hash(x or b"") for x in raw], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], [*names, "packed", "text_key"])
+
+    return docs.mapInArrow(run, schema)
+
+
+def compress(text: bytes) -> bytes:
+    return zstandard.compress(text, 1)
+
+
+def unpacked(column: pa.Array) -> list[bytes | None]:
+    """The texts of a `packed` column."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [None if x is None else unpack(x) for x in column.to_pylist()]

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from waymark.llm.chat_format import format_chats, loss_text, read_back
 from waymark.llm.common import table
+from waymark.llm.decontaminate import find_leaks
+from waymark.llm.html_text import extract
+from waymark.llm.line_dedup import dedup_lines
 from waymark.llm.packing import pack
 from waymark.llm.quality_rules import score_quality
 from waymark.llm.simhash import near_duplicates
@@ -40,6 +43,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -51,10 +58,20 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "quality")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce("text", F.lit(""))
+    return left.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2(kept, 256).alias("kept_sha256"), "dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_chat_format, op6_simhash, op7_quality, op9_packing)
+    f.__name__: f for f in (op3_toxicity, op4_chat_format, op5_decontaminate, op6_simhash, op7_quality, op8_html_text, op9_packing, op10_line_dedup)
 }
