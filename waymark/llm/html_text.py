@@ -18,21 +18,23 @@ further columns are ignored.
 from __future__ import annotations
 
 import html
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.common import checkpointed, compress, partitions, runs, text_hash, unpacked
 
-TAG = regex.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""")
-ATTRIBUTE = regex.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"'>]+)""")
-TOKEN = regex.compile(r"[a-z]+")
-CAMEL = regex.compile(r"(?<=[a-z])(?=[A-Z])")
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"'>]+)""")
+TOKEN = re.compile(r"[a-z]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math canvas object audio video select button head".split())
@@ -67,79 +69,107 @@ def is_boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     return attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style
 
 
+@dataclass(frozen=True)
+class Tag:
+    """What a tag's text says, whatever stands around it."""
+
+    name: str
+    closes: bool
+    raw: bool
+    block: bool
+    void: bool
+    marks: tuple[bool, bool]  # whether it starts boilerplate outside and inside an article
+    idle: bool  # it changes nothing
+
+
+@lru_cache(maxsize=20_000)
+def tag_of(closes: str, name: str, rest: str) -> Tag:
+    name = name.lower()
+    attrs = {} if closes or not rest else attributes(rest)
+    marks = (False, False) if closes else (is_boilerplate(name, attrs, False), is_boilerplate(name, attrs, True))
+    raw, block, void = name in RAW and not rest.endswith("/"), name in BLOCKS, name in VOID
+    inline = not block and not raw and name != "br"
+    return Tag(name, bool(closes), raw, block, void, marks, inline and (void or (not closes and not any(marks))))
+
+
 def parse(page: str) -> list[tuple[str, str]]:
     """(text, kind) of the page's blocks, in order; kind is b (boilerplate), a (in an article) or o (other)."""
     out: list[tuple[str, str]] = []
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = [("", False, False)]  # element, whether in boilerplate, whether in an article
-    at, size = 0, len(page)
+    muted = 0  # depth of the marked inline element that hides what it holds, amid a block
+    at, size, find, match = 0, len(page), page.find, TAG.match
+
+    def say(text: str) -> None:
+        if not muted:
+            held.append(html.unescape(text))
 
     def flush() -> None:
-        if held:
-            text = " ".join("".join(held).split())
-            if text:
+        if held and not muted:
+            if text := " ".join("".join(held).split()):
                 _, skipped, article = stack[-1]
                 out.append((text, "b" if skipped else "a" if article else "o"))
             held.clear()
 
     while at < size:
-        start = page.find("<", at)
-        if start < 0:
-            held.append(html.unescape(page[at:]))
-            break
-        if start > at:
-            held.append(html.unescape(page[at:start]))
-        follows = page[start + 1 : start + 2]
-        if follows in ("!", "?") and follows:
-            mark = "-->" if page.startswith("<!--", start) else ">"
-            end = page.find(mark, start + (4 if mark == "-->" else 2))
-            at = size if end < 0 else end + len(mark)
-            continue
-        m = TAG.match(page, start)
+        start = find("<", at)
+        if start != at:
+            say(page[at : start if start >= 0 else size])
+            if start < 0:
+                break
+        m = match(page, start)
         if m is None:
-            end = page.find(">", start) if follows.isalpha() or follows == "/" else -1
-            if end < 0:
-                held.append(page[start] if not (follows.isalpha() or follows == "/") else "")
-                at = start + 1 if not (follows.isalpha() or follows == "/") else size
+            follows = page[start + 1 : start + 2]
+            if follows in ("!", "?") and follows:
+                mark = "-->" if page.startswith("<!--", start) else ">"
+                end = find(mark, start + (4 if mark == "-->" else 2))
+                at = size if end < 0 else end + len(mark)
+            elif follows.isalpha() or follows == "/":  # a tag that doesn't end well
+                end = find(">", start)
+                at = size if end < 0 else end + 1
             else:
-                at = end + 1
+                say("<")
+                at = start + 1
             continue
-        at, closing, tag = m.end(), m[1], m[2].lower()
-        if closing:
-            if tag in BLOCKS:
+        at, tag = m.end(), tag_of(*m.groups())
+        if tag.idle:
+            continue
+        if tag.closes:
+            if tag.block:
                 flush()
-            if any(x[0] == tag for x in stack):
-                while stack.pop()[0] != tag:
+            if any(x[0] == tag.name for x in stack):
+                while stack.pop()[0] != tag.name:
                     pass
-            continue
-        if tag in RAW and not m[3].endswith("/"):
-            end = regex.search(rf"(?i)</{tag}\b[^>]*>", page, pos=at)
-            if end is None and tag == "head":
-                end = regex.search(r"(?i)(?=<body\b)", page, pos=at)
+                muted = muted if len(stack) >= muted else 0
+        elif tag.raw:
+            end = re.compile(rf"</{tag.name}\b[^>]*>", re.IGNORECASE).search(page, at)
+            if end is None and tag.name == "head":
+                end = re.compile(r"(?=<body\b)", re.IGNORECASE).search(page, at)
             if end is not None:
                 at = end.end()
-            elif tag in PLAIN:
+            elif tag.name in PLAIN:
                 at = size
-            held.append(" ")
-            continue
-        if tag in BLOCKS:
-            flush()
-        elif tag == "br":
-            held.append(" ")
-        if tag in VOID:
-            continue
-        if tag in CLOSES_P and stack[-1][0] == "p":
-            stack.pop()
-        if tag in SIBLINGS:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag or stack[i][0] in SIBLINGS[tag]), 0)
-            if depth and stack[depth][0] == tag:
-                del stack[depth:]
-        _, skipped, article = stack[-1]
-        marked = skipped or is_boilerplate(tag, attributes(m[3]) if m[3] else {}, article)
-        if tag in BLOCKS or marked != skipped:
-            if marked != skipped and tag not in BLOCKS:
-                flush()  # the element may hold anything
-            stack.append((tag, marked, article or tag == "article"))
+            say(" ")
+        elif tag.name == "br":
+            say(" ")
+        else:
+            if tag.block:
+                flush()
+                if stack[-1][0] == "p" and tag.name in CLOSES_P:
+                    stack.pop()
+                if tag.name in SIBLINGS:
+                    depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag.name or stack[i][0] in SIBLINGS[tag.name]), 0)
+                    if depth and stack[depth][0] == tag.name:
+                        del stack[depth:]
+                muted = muted if len(stack) >= muted else 0
+            if not tag.void:
+                _, skipped, article = stack[-1]
+                marked = skipped or tag.marks[article]
+                if tag.block or marked != skipped:
+                    stack.append((tag.name, marked, article or tag.name == "article"))
+                    if not tag.block and not muted:
+                        muted = len(stack)
+    muted = 0
     flush()
     return out
 
@@ -150,8 +180,8 @@ def place(url: str | None) -> tuple[str, str]:
         parts = urlsplit(url or "")
     except ValueError:
         return "", url or ""
-    path = regex.sub(r"\.\w{1,5}$", "", parts.path.rstrip("/"))
-    return parts.netloc.lower(), regex.sub(r"\d+", lambda m: m[0].zfill(12), path)
+    path = re.sub(r"\.\w{1,5}$", "", parts.path.rstrip("/"))
+    return parts.netloc.lower(), re.sub(r"\d+", lambda m: m[0].zfill(12), path)
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
