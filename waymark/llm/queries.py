@@ -16,12 +16,18 @@ from waymark.llm.line_dedup import dedup_lines
 from waymark.llm.packing import pack
 from waymark.llm.quality_rules import score_quality
 from waymark.llm.simhash import near_duplicates
+from waymark.llm.suffix_dedup import remove_repeats
 from waymark.llm.toxicity import score_toxicity
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -73,5 +79,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_chat_format, op5_decontaminate, op6_simhash, op7_quality, op8_html_text, op9_packing, op10_line_dedup)
+    f.__name__: f for f in (op2_suffix_dedup, op3_toxicity, op4_chat_format, op5_decontaminate, op6_simhash, op7_quality, op8_html_text, op9_packing, op10_line_dedup)
 }
