@@ -17,12 +17,22 @@ from waymark.llm.packing import pack
 from waymark.llm.quality_rules import score_quality
 from waymark.llm.simhash import near_duplicates
 from waymark.llm.suffix_dedup import remove_repeats
+from waymark.llm.token_counts import count_edited
 from waymark.llm.toxicity import score_toxicity
 
-WORD_TOKENIZER = "word_bpe_49k.json"
+WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after three edits of each text: a word put in, some characters exchanged, the end cut off."""
+    n = F.coalesce(F.char_length("text"), F.lit(0)).cast("long")
+    edit = lambda start, end, text: F.struct(F.floor(start).alias("start"), F.floor(end).alias("end"), F.lit(text).alias("text"))
+    edits = F.array(edit(n / 3, n / 3, " (edited)"), edit(2 * n / 3, 2 * n / 3 + 7, "don't"), edit(F.greatest(n - 5, F.lit(0)), n, "."))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", F.when(n > 0, edits))
+    return count_edited(docs, public_tokenizers.path(BYTE_TOKENIZER))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
@@ -79,5 +89,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op3_toxicity, op4_chat_format, op5_decontaminate, op6_simhash, op7_quality, op8_html_text, op9_packing, op10_line_dedup)
+    f.__name__: f for f in (op1_token_counts, op2_suffix_dedup, op3_toxicity, op4_chat_format, op5_decontaminate, op6_simhash, op7_quality, op8_html_text, op9_packing, op10_line_dedup)
 }
