@@ -25,14 +25,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymark.llm.common import checkpointed, runs, squeezed, text_hash, texts, unpacked
+from waymark.llm.common import checkpointed, partitions, runs, squeezed, text_hash, texts, unpacked
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two 64-bit halves of a key; odd
 MASK = (1 << 64) - 1
+NO_ID = -(1 << 63)  # stands for a null doc_id
+LINE = ["k1", "k2", "doc", "place", "halves"]  # place: 16 bits that tell texts of one id apart, then the line's number
 
 
 def signed(x: int) -> int:
@@ -87,57 +89,100 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """docs with the lines dropped from text, n_lines (before), and dropped (array of the dropped lines' places)."""
     keep = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "dropped")]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    n = partitions(docs.sparkSession)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, 2 << 20):
-            out: list[tuple] = []
+        """Documents to their long lines; those that equal an earlier one of the batch come without keys."""
+        for batch in runs(batches, 8 << 20):
+            first: dict[bytes, tuple] = {}
+            again: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), strict=True):
-                key = text_hash(text)
+                doc, tag = NO_ID if doc_id is None else doc_id, (text_hash(text) & 0xFFFF) << 32
                 for number, line in enumerate(text.split(b"\n")):
                     if len(line) >= 2 * min_words - 1 and len(words := line.lower().split()) >= min_words:
-                        whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-                        out.append((signed(whole >> 64), signed(whole & MASK), doc_id, key, number, half_keys(words)))
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["k1", "k2", "doc_id", "text_key", "number", "halves"])
-
-    lines = checkpointed(docs.select("doc_id", "text").mapInArrow(split, "k1 long, k2 long, doc_id long, text_key long, number long, halves array<long>"))
-    place = F.struct("doc_id", "text_key", "number")
-    distinct = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.any_value("halves").alias("halves"))
-    distinct = checkpointed(distinct)
-
-    shared = distinct.select("first", F.explode("halves").alias("half"))
-    twice = shared.groupBy("half").count().where("count > 1").select("half")
-    partnered = shared.join(twice, "half", "left_semi").select("first").distinct()
-    told = partnered.groupBy("first.doc_id", "first.text_key").agg(F.collect_list("first.number").alias("numbers"))
-    packed = squeezed(docs.select("doc_id", "text"))
-    same = packed["doc_id"].eqNullSafe(told["doc_id"]) & (packed["text_key"] == told["text_key"])
-    candidates = checkpointed(packed.join(told, same).select(packed["doc_id"], packed["text_key"], "packed", "numbers").mapInArrow(pick, "doc_id long, text_key long, number long, line binary")).distinct()
-
-    emitted = checkpointed(candidates.mapInArrow(emit, "v1 long, v2 long, kind int, doc_id long, text_key long, number long").select("v1", "v2", "kind", place.alias("line")))
+                        key, place = xxhash.xxh3_128_digest(b" ".join(words)), (doc, tag | number)
+                        known = first.get(key)
+                        if known is None:
+                            first[key] = (*place, half_keys(words))
+                        elif place < known[:2]:
+                            again.append(known[:2])
+                            first[key] = (*place, known[2])
+                        else:
+                            again.append(place)
+            keys = np.frombuffer(b"".join(first), np.int64).reshape(-1, 2)
+            rows, m = list(first.values()), len(again)
+            columns = [
+                pa.concat_arrays([pa.array(keys[:, i]), pa.nulls(m, pa.int64())]) for i in (0, 1)
+            ] + [pa.array([r[i] for r in rows] + [r[i] for r in again], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([r[2] for r in rows] + [None] * m, pa.list_(pa.int64()))], LINE)
+
+    lines = docs.select("doc_id", "text").mapInArrow(split, "k1 long, k2 long, doc long, place long, halves array<long>")
+    dealt = lines.repartition(n, F.coalesce("k1", F.xxhash64("doc", "place"))).sortWithinPartitions("k1", "k2", "doc", "place")
+    told = checkpointed(dealt.mapInArrow(firsts, "doc long, place long, halves array<long>"))
+
+    shared = told.where("halves IS NOT NULL").select(F.explode("halves").alias("half"), "doc", "place").repartition(n, "half").sortWithinPartitions("half")
+    partnered = shared.mapInArrow(twice, "doc long, place long").distinct()
+    tag = F.shiftright("place", 32)
+    asked = partnered.groupBy("doc", tag.alias("tag")).agg(F.collect_list(F.col("place").bitwiseAND((1 << 32) - 1)).alias("numbers"))
+    candidates = checkpointed(identified(docs.select("doc_id", "text")).join(asked, ["doc", "tag"]).mapInArrow(pick, "doc long, place long, line binary")).distinct()
+
+    line = F.struct("doc", "place")
+    emitted = candidates.mapInArrow(emit, "v1 long, v2 long, kind int, doc long, place long").withColumn("line", line).drop("doc", "place")
+    emitted = checkpointed(emitted)
     by_kind = [F.min(F.when(F.col("kind") == k, F.col("line"))).alias(f"least{k}") for k in (0, 1, 2)]
     least = emitted.groupBy("v1", "v2").agg(*by_kind, F.count("*").alias("members")).where("members > 1")
     #: A line meets those without one of its words, those with one word more, and those that differ in one word.
     partner = F.when(F.col("kind") == 0, F.col("least1")).when(F.col("kind") == 1, F.col("least0")).otherwise(F.col("least2"))
     met = emitted.join(least, ["v1", "v2"]).select("line", partner.alias("partner")).where("partner < line").groupBy("line").agg(F.min("partner").alias("partner"))
-    as_line = lambda name: candidates.select(place.alias(name), F.col("line").alias(f"{name}_text"))
-    verified = met.join(as_line("line"), "line").join(as_line("partner"), "partner").mapInArrow(verify, "doc_id long, text_key long, number long")
+    as_line = lambda name: candidates.select(line.alias(name), F.col("line").alias(f"{name}_text"))
+    verified = met.join(as_line("line"), "line").join(as_line("partner"), "partner").mapInArrow(verify, "doc long, place long")
 
-    near = verified.select(place.alias("near"))
-    judged = distinct.join(near, same_place("first", "near"), "left").where("times > 1 OR near IS NOT NULL")
-    judged = judged.select("k1", "k2", F.when(F.col("near").isNull(), F.col("first")).alias("kept"))
-    gone = lines.join(judged, ["k1", "k2"]).where(F.col("kept").isNull() | (place != F.col("kept")))
-    of_doc = gone.groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key")).agg(F.array_sort(F.collect_set("number")).alias("dropped"))
-
-    whole = squeezed(docs)
-    joined = whole.join(of_doc, whole["doc_id"].eqNullSafe(of_doc["of_id"]) & (whole["text_key"] == of_doc["of_key"]), "left").drop("of_id", "of_key", "text_key")
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("dropped", T.ArrayType(T.LongType()))])
+    gone = told.where("halves IS NULL").select("doc", "place").unionByName(verified)
+    of_doc = gone.groupBy("doc", tag.alias("tag")).agg(F.array_sort(F.collect_set(F.col("place").bitwiseAND((1 << 32) - 1))).alias("dropped"))
+    joined = identified(docs).join(of_doc, ["doc", "tag"], "left")
     names = docs.columns
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("dropped", T.ArrayType(T.LongType()))])
     return joined.mapInArrow(lambda batches: rebuild(batches, names), schema)
 
 
-def same_place(a: str, b: str) -> Column:
-    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key")) & (F.col(f"{a}.number") == F.col(f"{b}.number"))
+def identified(docs: DataFrame) -> DataFrame:
+    """docs with their text packed, and doc and tag, by which lines name them."""
+    packed = squeezed(docs)
+    return packed.withColumns({"doc": F.coalesce("doc_id", F.lit(NO_ID)), "tag": F.col("text_key").bitwiseAND(0xFFFF)}).drop("text_key")
+
+
+def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines sorted by key and place: the first of each key as it is, the others without halves."""
+    last = (None, None)
+    for batch in batches:
+        new = np.ones(batch.num_rows, bool)
+        if batch.num_rows:
+            keyed = batch.column("k1").is_valid().to_numpy(zero_copy_only=False)
+            k1, k2 = (batch.column(k).fill_null(0).to_numpy() for k in ("k1", "k2"))
+            new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+            new[0] = (k1[0], k2[0]) != last
+            new &= keyed
+            last = (k1[-1], k2[-1]) if keyed[-1] else (None, None)
+        halves = pa.compute.if_else(pa.array(new), batch.column("halves"), pa.nulls(batch.num_rows, pa.list_(pa.int64())))
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), halves], ["doc", "place", "halves"])
+
+
+def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by half: the places of those whose half occurs twice or more."""
+    held: tuple | None = None  # the last row, if it may yet find a partner
+    last = None
+    for batch in batches:
+        half = batch.column("half").to_numpy()
+        if not len(half):
+            continue
+        same = half[1:] == half[:-1]
+        hit = np.r_[half[0] == last, same] | np.r_[same, False]
+        out = batch.filter(pa.array(hit)).select(["doc", "place"])
+        if held is not None and half[0] == last:
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], ["doc", "place"])
+        yield out
+        last = half[-1]
+        held = None if hit[-1] else (batch.column("doc")[-1].as_py(), batch.column("place")[-1].as_py())
 
 
 def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,11 +190,11 @@ def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for big in batches:
         for batch in (big.slice(at, 500) for at in range(0, big.num_rows, 500)):
             out = []
-            for doc_id, key, text, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpacked(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+            for doc, tag, text, numbers in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), unpacked(batch.column("packed")), batch.column("numbers").to_pylist(), strict=True):
                 lines = (text or b"").split(b"\n")
-                out += [(doc_id, key, n, b" ".join(lines[n].lower().split())) for n in numbers]
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["doc_id", "text_key", "number", "line"])
+                out += [(doc, tag << 32 | n, b" ".join(lines[n].lower().split())) for n in numbers]
+            columns = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), pa.array(columns[2], pa.binary())], ["doc", "place", "line"])
 
 
 def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,8 +204,8 @@ def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = [neighbourhood(line.split(b" ")) for line in batch.column("line").to_pylist()]
             rows = np.array([k for ks in keys for k in ks], np.int64).reshape(-1, 3)
             at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
-            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), *(batch.column(i).take(at) for i in range(3))]
-            yield pa.RecordBatch.from_arrays(columns, ["v1", "v2", "kind", "doc_id", "text_key", "number"])
+            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), *(batch.column(i).take(at) for i in range(2))]
+            yield pa.RecordBatch.from_arrays(columns, ["v1", "v2", "kind", "doc", "place"])
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +213,7 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("line_text").to_pylist(), batch.column("partner_text").to_pylist(), strict=True)
         good = batch.column("line").filter(pa.array([within(a.split(b" "), b.split(b" ")) for a, b in pairs], pa.bool_()))
-        yield pa.RecordBatch.from_arrays(good.flatten(), ["doc_id", "text_key", "number"])
+        yield pa.RecordBatch.from_arrays(good.flatten(), ["doc", "place"])
 
 
 def rebuild(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
