@@ -36,25 +36,21 @@ SENTENCE = regex.compile(r"(?<=[.!?])\s+")
 FOUND = "doc_id long, item_id long, similarity double, lcs_share double, answer_found boolean, start long, n_words long"
 
 
-class Ids:
-    """32-bit ids of words; the low bits are the terms of the decomposition."""
-
-    def __init__(self, cached: int = 500_000) -> None:
-        self.cached, self.cache = cached, {}
-
-    def of(self, text: str) -> np.ndarray:
-        words, cache = text.lower().encode().translate(SPLIT).split(), self.cache
-        try:
-            found = [cache[w] for w in words]
-        except KeyError:
-            if len(cache) > self.cached:
-                cache.clear()
-            digest = xxhash.xxh32_intdigest
-            for w in words:
-                if w not in cache:
-                    cache[w] = digest(w)
-            found = [cache[w] for w in words]
-        return np.array(found, np.uint32)
+class Ids(dict):
+    """32-bit ids of words, kept as they are asked for; the low bits are the terms of the decomposition."""
+
+    def __init__(self, most: int = 700_000) -> None:
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh32_intdigest(word)
+        return found
+
+    def of(self, text: str, distinct: bool = False) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+        words = text.lower().encode().translate(SPLIT).split()
+        return np.array([self[w] for w in (set(words) if distinct else words)], np.uint32)
 
 
 @dataclass
@@ -87,7 +83,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         ids, counts, n = Ids(), np.zeros(TERMS, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts[np.unique(ids.of(text or "") & np.uint32(TERMS - 1))] += 1
+                counts[ids.of(text or "", distinct=True) & np.uint32(TERMS - 1)] += 1  # a repeated index counts once
                 n += 1
         terms = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, terms]), pa.array(np.r_[n, counts[terms]])], ["term", "n"])
@@ -200,31 +196,42 @@ def find_leaks(
         vectors = np.array([basis[np.array(i.ids, np.uint32) & np.uint32(TERMS - 1)].sum(axis=0) for i in own])
         groups.append((length, own, (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).T.astype(np.float32)))
 
+    base, whole = (min(lengths) // 2, max(lengths) // 2) if lengths else (1, 1)
+    padded = np.vstack([basis, np.zeros((1, dimensions), np.float32)])
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids()
-        for batch in runs(batches, 2 << 20):
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = ids.of(text or "")
-                if len(words) < paraphrase * least_words:
-                    continue
-                sums = np.zeros((len(words) + 1, dimensions), np.float64 if len(words) > 1 << 16 else np.float32)
-                np.cumsum(basis[words & np.uint32(TERMS - 1)], axis=0, out=sums[1:])
-                best: dict[int, tuple] = {}
-                for length, own, vectors in groups:
-                    starts = np.arange(0, max(1, len(words) - length // 2), length // 2)
-                    windows = (sums[np.minimum(starts + length, len(words))] - sums[starts]).astype(np.float32)
-                    norms = np.sqrt(np.einsum("ij,ij->i", windows, windows))
-                    scores = windows @ vectors
-                    for w, k in zip(*np.nonzero(scores >= cosine * norms[:, None] + 1e-12), strict=True):
-                        item, s = own[k], int(starts[w])
-                        low, high = max(0, s - length), s + 2 * length
-                        near = words[low:high].tolist()
-                        if (share := lcs(item.at, len(item.ids), near) / len(item.ids)) >= paraphrase and share > best.get(item.item_id, (0,))[0]:
-                            answered = lcs(item.answer_at, len(item.answer), near) == len(item.answer)
-                            if share >= verbatim or answered:
-                                best[item.item_id] = (share, item.item_id, float(scores[w, k] / norms[w]), answered, s)
-                rows += [(doc_id, i, sim, share, answered, s, len(words)) for share, i, sim, answered, s in best.values()]
+        for batch in runs(batches, 512 << 10):
+            words = [ids.of(text or "") for text in batch.column("text").to_pylist()]
+            doc_ids = batch.column("doc_id").to_pylist()
+            room = np.array([-(-len(w) // whole) * whole for w in words])
+            ends = np.cumsum(room)
+            flat = np.full(int(ends[-1]), TERMS, np.uint32)  # each document starts at a multiple of the longest step
+            for w, end, n in zip(words, ends.tolist(), room.tolist(), strict=True):
+                flat[end - n : end - n + len(w)] = w & np.uint32(TERMS - 1)
+            sums = np.concatenate([padded[some].reshape(-1, base, dimensions).sum(axis=1) for some in np.split(flat, range(1 << 16, len(flat), 1 << 16))]) if len(flat) else np.zeros((0, dimensions), np.float32)
+            best: dict[tuple[int, int], tuple] = {}
+            step = base
+            for length, own, vectors in groups:
+                while step < length // 2:
+                    sums = sums.reshape(-1, 2, dimensions).sum(axis=1)
+                    step *= 2
+                windows = sums + np.vstack([sums[1:], np.zeros((1, dimensions), np.float32)]) if len(sums) else sums
+                norms = np.sqrt(np.einsum("ij,ij->i", windows, windows))
+                scores = windows @ vectors
+                hits, which = np.nonzero(scores >= cosine * norms[:, None] + 1e-12)
+                owners = np.searchsorted(ends, hits * step, side="right")
+                for w, k, d in zip(hits.tolist(), which.tolist(), owners.tolist(), strict=True):
+                    item, s = own[k], w * step - int(ends[d] - room[d])
+                    known = best.get((d, item.item_id), (0,))[0]
+                    if known == 1:
+                        continue
+                    near = words[d][max(0, s - length // 2) : s + 3 * length // 2].tolist()
+                    if (share := lcs(item.at, len(item.ids), near) / len(item.ids)) >= paraphrase and share > known:
+                        answered = lcs(item.answer_at, len(item.answer), near) == len(item.answer)
+                        if share >= verbatim or answered:
+                            best[d, item.item_id] = (share, float(scores[w, k] / norms[w]), answered, s)
+            rows = [(doc_ids[d], i, sim, share, answered, s, len(words[d])) for (d, i), (share, sim, answered, s) in best.items()]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")])
