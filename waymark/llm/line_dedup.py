@@ -88,7 +88,8 @@ def within(a: list[bytes], b: list[bytes]) -> bool:
 def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """docs with the lines dropped from text, n_lines (before), and dropped (array of the dropped lines' places)."""
     keep = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "dropped")]
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    kept = [f"kept_{i}" for i in range(len(keep))]  # names that clash with none
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)])
     n = partitions(docs.sparkSession)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +143,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     joined = identified(docs).join(of_doc, ["doc", "tag"], "left")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("dropped", T.ArrayType(T.LongType()))])
-    return joined.mapInArrow(lambda batches: rebuild(batches, names), schema)
+    rebuilt = joined.mapInArrow(lambda batches: rebuild(batches, names), schema)
+    return rebuilt.select("doc_id", "text", *[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], "n_lines", "dropped")
 
 
 def identified(docs: DataFrame) -> DataFrame:

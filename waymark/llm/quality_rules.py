@@ -97,14 +97,16 @@ def votes() -> dict[str, Column]:
     }
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 1.0) -> tuple[np.ndarray, dict]:
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 1.0, trust: float = 0.05) -> tuple[np.ndarray, dict]:
     """Posterior of "good" for each vote pattern, and the model.
 
     Bad documents are bad in different ways, and two classes alone would let nine rules that see nothing outvote the
     one that does.  So the latent classes are "good" and one failure mode per rule; each class has, per rule, the
     probabilities of its three votes, and expectation-maximisation estimates them and the classes' shares.  It starts
-    with each pattern in the modes of the rules that say bad, and in "good" where none does.  `prior` documents are
-    added to every (class, rule, vote).  The model holds the shares, the votes' probabilities, and each rule's
+    with each pattern in the modes of the rules that say bad, and in "good" where none does.  A mode's own rule always
+    says bad in it, and `trust` of all documents are added to "good" with the votes that don't say bad: without that,
+    a mode whose other votes look like "good" could be told as either.  `prior` documents are added to every (class,
+    rule, vote).  The model holds the shares, the votes' probabilities, and each rule's
     accuracy: the posterior share of bad among the documents that it calls bad.
     """
     rules = patterns.shape[1]
@@ -112,10 +114,14 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: floa
     fired = (patterns == -1).astype(float)
     member = np.concatenate([(fired.sum(axis=1, keepdims=True) == 0).astype(float), fired], axis=1)
     member /= member.sum(axis=1, keepdims=True)
+    modes = np.arange(1, rules + 1)
+    seldom = np.einsum("p,prv->rv", counts, onehot) * (0, 1, 1)
     for _ in range(rounds):
         weight = member * counts[:, None]
         total = np.einsum("pc,prv->crv", weight, onehot) + prior
+        total[0] += trust * seldom
         chance = total / total.sum(axis=2, keepdims=True)
+        chance[modes, modes - 1] = (1 - 2e-9, 1e-9, 1e-9)
         share = (weight.sum(axis=0) + prior) / (counts.sum() + prior * (rules + 1))
         logs = np.log(share) + np.einsum("prv,crv->pc", onehot, np.log(chance))
         new = np.exp(logs - logs.max(axis=1, keepdims=True, initial=-np.inf))
