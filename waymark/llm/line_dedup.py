@@ -6,7 +6,7 @@ dropped if it equals an earlier line, or is within the bound of one; earlier by
 
 Only the first occurrence of each distinct line goes on.  Lines that can't have a partner are set aside without loss:
 of two lines within one word of each other, the first or the last half of the words agree, so only lines that share
-such a half with another one emit their deletion neighbourhood.  That is, for each word, the hash of the line without
+such a half with another one emit their deletion neighbourhood, and of the half that they share, nothing.  That is, for each word, the hash of the line without
 it: with the word's place, to meet lines that differ in that word, and without, to meet the lines that are just that
 text.  Each key keeps its earliest line alone, a minimum that is combined before the shuffle, and the join back to the
 lines is one that Spark may split: no group is gathered and no pairs are emitted, however many variants a template
@@ -42,22 +42,25 @@ def signed(x: int) -> int:
 
 
 def half_keys(words: list[bytes]) -> list[int]:
-    """Of what a line shares, at its start or at its end, with every line within the bound."""
+    """Of what a line shares, at its start (even) or at its end (odd), with every line within the bound."""
     n, digest = len(words), xxhash.xxh3_64_intdigest
     out = []
     for size in {n // 2, (n - 1) // 2} - {0}:
-        out += [digest(b" ".join(words[:size]), 2 * size), digest(b" ".join(words[-size:]), 2 * size + 1)]
+        out += [digest(b" ".join(words[:size]), size) & ~1, digest(b" ".join(words[-size:]), size) | 1]
     return [signed(x) for x in out]
 
 
-def neighbourhood(words: list[bytes]) -> list[tuple[int, int, int]]:
+def neighbourhood(words: list[bytes], sides: int) -> list[tuple[int, int, int]]:
     """(key, key, kind): kind 0, the line itself; 1, without a word; 2, without a word and with its place.
 
+    sides: 1 if another line shares the start, 2 if one shares the end, 3 for both.  What differs from a line that
+    shares a half is not in it, so that words of a half that all partners share are never left out.
+
     A key is a polynomial in the words' hashes, so that all variants of a line take time in its length.
     """
     n = len(words)
     hashes = [xxhash.xxh3_128_intdigest(w) for w in words]
-    sides = []
+    hashed = []
     for side, base in enumerate(BASES):
         h = [x >> 64 * side & MASK for x in hashes]
         before, after, power = [0], [0], [1]
@@ -67,11 +70,13 @@ def neighbourhood(words: list[bytes]) -> list[tuple[int, int, int]]:
             after.append((after[-1] + x * power[-1]) & MASK)
             power.append(power[-1] * base & MASK)
         without = [(before[i] * power[n - 1 - i] + after[n - 1 - i]) & MASK for i in range(n)]
-        sides.append([before[n], *without])
+        hashed.append([before[n], *without])
     mix = lambda x, more: signed((x ^ (more + 1) * BASES[1] & MASK) * BASES[0] & MASK)
-    whole, shorter = list(zip(*sides, strict=True))[0], list(zip(*sides, strict=True))[1:]
+    whole, *shorter = zip(*hashed, strict=True)
     out = {(mix(whole[0], 2 * n), signed(whole[1]), 0)}
-    for i, (a, b) in enumerate(shorter):
+    some = range((n - 1) // 2 if sides == 1 else 0, n - (n - 1) // 2 if sides == 2 else n)
+    for i in some:
+        a, b = shorter[i]
         out.add((mix(a, 2 * (n - 1)), signed(b), 1))
         out.add((mix(a, (2 * n + 1) + (i << 32)), signed(b), 2))
     return list(out)
@@ -122,10 +127,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     told = checkpointed(dealt.mapInArrow(firsts, "doc long, place long, halves array<long>"))
 
     shared = told.where("halves IS NOT NULL").select(F.explode("halves").alias("half"), "doc", "place").repartition(n, "half").sortWithinPartitions("half")
-    partnered = shared.mapInArrow(twice, "doc long, place long").distinct()
+    partnered = shared.mapInArrow(twice, "doc long, place long, side int").groupBy("doc", "place").agg(F.bit_or("side").alias("sides"))
     tag = F.shiftright("place", 32)
-    asked = partnered.groupBy("doc", tag.alias("tag")).agg(F.collect_list(F.col("place").bitwiseAND((1 << 32) - 1)).alias("numbers"))
-    candidates = checkpointed(identified(docs.select("doc_id", "text")).join(asked, ["doc", "tag"]).mapInArrow(pick, "doc long, place long, line binary")).distinct()
+    asked = partnered.groupBy("doc", tag.alias("tag")).agg(F.collect_list(F.struct(F.col("place").bitwiseAND((1 << 32) - 1).alias("number"), "sides")).alias("numbers"))
+    candidates = checkpointed(identified(docs.select("doc_id", "text")).join(asked, ["doc", "tag"]).mapInArrow(pick, "doc long, place long, sides int, line binary")).distinct()
 
     line = F.struct("doc", "place")
     emitted = candidates.mapInArrow(emit, "v1 long, v2 long, kind int, doc long, place long").withColumn("line", line).drop("doc", "place")
@@ -170,7 +175,7 @@ def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by half: the places of those whose half occurs twice or more."""
+    """Rows sorted by half: the places of those whose half occurs twice or more, and 1 if it is a start, 2 an end."""
     held: tuple | None = None  # the last row, if it may yet find a partner
     last = None
     for batch in batches:
@@ -179,12 +184,12 @@ def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         same = half[1:] == half[:-1]
         hit = np.r_[half[0] == last, same] | np.r_[same, False]
-        out = batch.filter(pa.array(hit)).select(["doc", "place"])
         if held is not None and half[0] == last:
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], ["doc", "place"])
-        yield out
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(held, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["doc", "place", "side"])
+        side = ((half & 1) + 1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), pa.array(side)], ["doc", "place", "side"]).filter(pa.array(hit))
         last = half[-1]
-        held = None if hit[-1] else (batch.column("doc")[-1].as_py(), batch.column("place")[-1].as_py())
+        held = None if hit[-1] else (batch.column("doc")[-1].as_py(), batch.column("place")[-1].as_py(), int(side[-1]))
 
 
 def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,16 +199,17 @@ def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for doc, tag, text, numbers in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), unpacked(batch.column("packed")), batch.column("numbers").to_pylist(), strict=True):
                 lines = (text or b"").split(b"\n")
-                out += [(doc, tag << 32 | n, b" ".join(lines[n].lower().split())) for n in numbers]
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), pa.array(columns[2], pa.binary())], ["doc", "place", "line"])
+                out += [(doc, tag << 32 | x["number"], x["sides"], b" ".join(lines[x["number"]].lower().split())) for x in numbers]
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "place", "sides", "line"])
 
 
 def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines to their deletion neighbourhoods."""
     for big in batches:
         for batch in (big.slice(at, 1000) for at in range(0, big.num_rows, 1000)):
-            keys = [neighbourhood(line.split(b" ")) for line in batch.column("line").to_pylist()]
+            keys = [neighbourhood(line.split(b" "), sides) for line, sides in zip(batch.column("line").to_pylist(), batch.column("sides").to_pylist(), strict=True)]
             rows = np.array([k for ks in keys for k in ks], np.int64).reshape(-1, 3)
             at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
             columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), *(batch.column(i).take(at) for i in range(2))]
