@@ -295,3 +295,24 @@ def test_line_dedup_equals_brute_force(spark, docs, rows, none):
         if t:
             assert by[i]["text"] == "\n".join(x for n, x in enumerate(t.split("\n")) if n not in expected[i])
     assert line_dedup.dedup_lines(docs).count() == docs.count() and line_dedup.dedup_lines(none).count() == 0
+
+
+@pytest.mark.parametrize("pieces", [1, 6])
+def test_line_dedup_keeps_a_copy_of_repeated_rows(spark, rows, pieces):
+    rows = [*rows, *rows[:3], (300, prose(77, 12)), (300, prose(77, 12)), (300, prose(77, 12)), (301, prose(77, 12) + " more"), (None, base := prose(78, 9)), (None, base), (302, base)]
+    rows = [r for r in rows if len(r[1] or "") < 10_000]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOC).repartition(pieces)).collect()
+    keyed = {(line_dedup.NO_ID if i is None else i, line_dedup.text_hash((t or "").encode()) & 0xFFFF): (i, t) for i, t in rows}
+    earlier, kept = [], {}
+    for key in sorted(keyed):
+        i, t = keyed[key]
+        left = []
+        for line in (t or "").split("\n"):
+            words = line.lower().encode().split()
+            if len(words) < 5 or not any(line_dedup.within(words, e) for e in earlier):
+                left.append(line)
+            if len(words) >= 5:
+                earlier.append(words)
+        kept[i, t] = t if t is None else "\n".join(left)
+    plain = lambda pairs: sorted((str(i), str(t)) for i, t in pairs)
+    assert plain((r["doc_id"], r["text"]) for r in got) == plain((i, kept[i, t]) for i, t in rows)

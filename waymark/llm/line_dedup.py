@@ -13,9 +13,9 @@ lines is one that Spark may split: no group is gathered and no pairs are emitted
 has.  Keys have 128 bits; the earliest line that a line meets is then verified, word by word.
 
 Defined results: a null text stays null; a line may hold any text, and lines are split at \\n alone; short lines and
-lines without words stay; rows equal in doc_id and text fare alike; every row of the input gives one row; an empty
-table gives no rows; columns other than doc_id and text are passed on, except `n_lines` and `dropped`, which are
-replaced.
+lines without words stay; rows equal in doc_id and text fare alike, as none is the earlier: a line that no other row or
+place has before them stays in each; every row of the input gives one row; an empty table gives no rows; columns other
+than doc_id and text are passed on, except `n_lines` and `dropped`, which are replaced.
 """
 
 from __future__ import annotations
@@ -113,7 +113,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
                         elif place < known[:2]:
                             again.append(known[:2])
                             first[key] = (*place, known[2])
-                        else:
+                        elif place > known[:2]:  # a repeated row's line is the very line known
                             again.append(place)
             keys = np.frombuffer(b"".join(first), np.int64).reshape(-1, 2)
             rows, m = list(first.values()), len(again)
@@ -159,19 +159,22 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines sorted by key and place: the first of each key as it is, the others without halves."""
-    last = (None, None)
+    """Lines sorted by key and place: the first of each key as it is, the others without halves; lines of repeated rows once."""
+    last = line = (None, None)
     for batch in batches:
-        new = np.ones(batch.num_rows, bool)
+        new, own = np.ones(batch.num_rows, bool), np.ones(batch.num_rows, bool)
         if batch.num_rows:
             keyed = batch.column("k1").is_valid().to_numpy(zero_copy_only=False)
             k1, k2 = (batch.column(k).fill_null(0).to_numpy() for k in ("k1", "k2"))
             new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
             new[0] = (k1[0], k2[0]) != last
             new &= keyed
-            last = (k1[-1], k2[-1]) if keyed[-1] else (None, None)
+            doc, place = (batch.column(k).to_numpy() for k in ("doc", "place"))
+            own[1:] = new[1:] | ~keyed[1:] | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
+            own[0] = new[0] or not keyed[0] or (doc[0], place[0]) != line
+            last, line = (k1[-1], k2[-1]) if keyed[-1] else (None, None), (doc[-1], place[-1])
         halves = pa.compute.if_else(pa.array(new), batch.column("halves"), pa.nulls(batch.num_rows, pa.list_(pa.int64())))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), halves], ["doc", "place", "halves"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), halves], ["doc", "place", "halves"]).filter(pa.array(own))
 
 
 def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
