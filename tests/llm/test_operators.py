@@ -151,6 +151,36 @@ def test_leaks_are_found_and_clean_documents_are_not(spark, none):
     assert decontaminate.find_leaks(docs, benchmark.where("false")).count() == 0
 
 
+def test_the_basis_is_that_of_all_documents(spark, monkeypatch):
+    texts = F.array(*[F.lit(prose(k, 40)) for k in range(150)])
+    docs = spark.range(4200).select(F.col("id").alias("doc_id"), F.element_at(texts, (F.col("id") % 150 + 1).cast("int")).alias("text"))
+    fitted, plain = [], decontaminate.fit_basis
+    monkeypatch.setattr(decontaminate, "fit_basis", lambda words, *more: fitted.append(words.count()) or plain(words, *more))
+    found = decontaminate.find_leaks(docs, spark.createDataFrame([(1, prose(0, 40))], "item_id long, text string"))
+    assert found.count() == 28 and fitted == [4200]
+
+
+def test_the_sketch_finds_singular_vectors(spark):
+    rows = [(k, prose(k, 70)) for k in range(60)] + [(100, None), (101, "x " * 90)]
+    words = decontaminate.looked_up(spark.createDataFrame(rows, DOC)).repartition(3)
+    idf = np.random.default_rng(1).random(decontaminate.TERMS).astype(np.float32) + 0.5
+    ids, dense = decontaminate.Ids(), []
+    for _, text in rows:
+        terms = ids.of(text or "") & np.uint32(decontaminate.TERMS - 1)
+        for at in range(0, len(terms), 32):
+            if len(some := np.unique(terms[at : at + 32])) >= 12:
+                dense.append(np.zeros(decontaminate.TERMS, np.float32))
+                dense[-1][some] = idf[some] / np.linalg.norm(idf[some])
+    terms, weights = zip(*(x for r in words.collect() for x in decontaminate.passages([r["ids"]], idf, 32)), strict=True)
+    made = np.zeros((len(dense), decontaminate.TERMS), np.float32)
+    for row, t, w in zip(made, np.concatenate(terms), np.concatenate(weights), strict=True):
+        np.add.at(row, t, w)
+    assert np.allclose(sorted(made.sum(axis=1)), sorted(np.sum(dense, axis=1)), atol=1e-4)
+    found = np.array(dense) @ decontaminate.fit_basis(words, idf, 100)
+    found = found[:, np.linalg.norm(found, axis=0) > 0.5]
+    assert found.shape[1] > 90 and np.allclose(found.T @ found, np.eye(found.shape[1]), atol=0.02)
+
+
 def test_lcs():
     dice = random.Random(4)
     for _ in range(200):

@@ -1,9 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Inverse document frequencies of hashed words, over all documents and items.
-2. A randomised singular value decomposition of TF-IDF passages, distributed: partitions add up their parts of
-   A'(A Omega), one block of terms at a time, and the driver orthogonalises the sum (terms x dimensions, whatever the
-   corpus); singular values are scaled out, so that what all passages share weighs no more than the rest.  This basis alone is fitted on a bounded sample: `fit_documents` documents, the first by hash of doc_id.
+1. Words are looked up once: each document's 32-bit word ids go to the checkpoint folder, and all passes read those.
+   Inverse document frequencies of hashed words, over all documents and items.
+2. A randomised singular value decomposition of the TF-IDF passages of all documents, distributed: tasks add up their
+   parts of A'(A Omega), and the parts are added one block of terms at a time; the driver orthogonalises the sum (terms
+   x dimensions, whatever the corpus).  There are as many parts as two a core, so that they don't grow with the corpus.
+   Singular values are scaled out, so that what all passages share weighs no more than the rest.
 3. Every window of every document, at the lengths that the items have and with half-length steps, is projected and
    compared with all items by cosine.  The items go to every task: at most `most_items` of them, else it refuses.
 4. Candidates are verified: longest common subsequence of words in the window and its surroundings, as a share of the
@@ -46,11 +48,11 @@ class Ids(dict):
         found = self[word] = xxhash.xxh32_intdigest(word)
         return found
 
-    def of(self, text: str, distinct: bool = False) -> np.ndarray:
+    def of(self, text: str) -> np.ndarray:
         if len(self) > self.most:
             self.clear()
         words = text.lower().encode().translate(SPLIT).split()
-        return np.array([self[w] for w in (set(words) if distinct else words)], np.uint32)
+        return np.array([self[w] for w in words], np.uint32)
 
 
 @dataclass
@@ -76,19 +78,35 @@ def read_items(benchmark: DataFrame, least_words: int, most_items: int) -> list[
     return out
 
 
-def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+def looked_up(docs: DataFrame) -> DataFrame:
+    """doc_id and ids, the 32-bit ids of the text's words (none if it is null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Ids()
+        for batch in runs(batches, 8 << 20):
+            ids = [known.of(text or "").tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+
+
+def terms_of(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.uint32) & np.uint32(TERMS - 1)
+
+
+def document_frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts each term occurs, and how many texts there are; TERMS + 1 rows reach the driver at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts, n = Ids(), np.zeros(TERMS, np.int64), 0
+        counts, n = np.zeros(TERMS, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts[ids.of(text or "", distinct=True) & np.uint32(TERMS - 1)] += 1  # a repeated index counts once
+            for ids in batch.column(0).to_pylist():
+                counts[terms_of(ids)] += 1  # a repeated index counts once
                 n += 1
         terms = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, terms]), pa.array(np.r_[n, counts[terms]])], ["term", "n"])
 
-    rows = texts.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = words.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(TERMS + 1, np.int64)
     for r in rows:
         counts[r["term"]] = r["n"]
@@ -99,33 +117,52 @@ def omega(dimensions: int) -> np.ndarray:
     return np.random.default_rng(7).standard_normal((TERMS, dimensions)).astype(np.float32)
 
 
-def passages(text: str | None, ids: Ids, size: int, least: int = 12) -> Iterator[np.ndarray]:
-    """The distinct terms of a text's passages; those with few, such as one word again and again, would take the basis over."""
-    terms = ids.of(text or "") & np.uint32(TERMS - 1)
-    some = (np.unique(terms[at : at + size]) for at in range(0, len(terms), size))
-    return (x for x in some if len(x) >= least)
-
+def passages(texts: list[bytes], idf: np.ndarray, size: int, least: int = 12) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Passages of texts given as ids: their terms, some thousand rows at a time, and what each weighs, a row's squares adding up to 1.
 
-def fit_basis(sample: DataFrame, idf: np.ndarray, dimensions: int, extra: int = 8, passage: int = 32) -> np.ndarray:
+    A term counts once in a passage.  Passages of few terms, such as one word again and again, would take the basis over.
+    """
+    room = [-(-len(t) // 4 // size) * size for t in texts]
+    flat = np.full(sum(room), TERMS, np.uint32)
+    at = 0
+    for t, n in zip(texts, room, strict=True):
+        flat[at : at + len(t) // 4] = terms_of(t)
+        at += n
+    rows = np.sort(flat.reshape(-1, size), axis=1)
+    counted = rows < TERMS
+    counted[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+    some = counted.sum(axis=1) >= least
+    rows, counted = rows[some] & np.uint32(TERMS - 1), counted[some]
+    for at in range(0, len(rows), 8192):
+        terms = rows[at : at + 8192]
+        weights = idf[terms] * counted[at : at + 8192]
+        yield terms, weights / np.maximum(np.sqrt((weights**2).sum(axis=1, keepdims=True)), 1e-9)
+
+
+def fit_basis(words: DataFrame, idf: np.ndarray, dimensions: int, extra: int = 8, passage: int = 32) -> np.ndarray:
     """terms x dimensions: takes a TF-IDF passage to its left singular vector, the scale of singular values taken out.
 
     One pass adds up A'(A Omega), whose orthonormal basis is Q; another adds up (A Q)'(A Q), whose eigenvectors turn
     Q into the right singular vectors; the last `extra` of them are dropped.
     """
     size, wide = TERMS // BLOCKS, dimensions + extra
+    words = words.select("ids").coalesce(2 * words.sparkSession.sparkContext.defaultParallelism)
 
     def part_of(batches: Iterator[pa.RecordBatch], first: np.ndarray, back: bool) -> np.ndarray:
-        ids, weighted = Ids(), first * idf[:, None]
-        total = np.zeros((TERMS if back else wide, wide), np.float32)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for some in passages(text, ids, passage):
-                    y = weighted[some].sum(axis=0) / max(float(np.sqrt((idf[some] ** 2).sum())), 1e-9)
-                    if back:
-                        np.add.at(total, some, idf[some][:, None] * y)
-                    else:
-                        total += np.outer(y, y)
-        return total
+        total = np.zeros((TERMS if back else wide, wide))
+        for batch in runs(batches, 2 << 20, "ids"):
+            for terms, weights in passages(batch.column("ids").to_pylist(), idf, passage):
+                y = np.concatenate([np.matmul(weights[i : i + 256, None, :], first[terms[i : i + 256]])[:, 0] for i in range(0, len(terms), 256)])
+                if back:
+                    kept = np.flatnonzero(weights)
+                    order = kept[np.argsort(terms.ravel()[kept].astype(np.uint16), kind="stable")]
+                    for some in np.split(order, range(4096, len(order), 4096)):  # so few stay in the processor's cache
+                        term = terms.ravel()[some]
+                        starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+                        total[term[starts]] += np.add.reduceat(y[some // passage] * weights.ravel()[some, None], starts, axis=0)
+                else:
+                    total += y.T @ y
+        return total.astype(np.float32)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = part_of(batches, omega(wide), True)
@@ -139,12 +176,12 @@ def fit_basis(sample: DataFrame, idf: np.ndarray, dimensions: int, extra: int =
         total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["part"])
         return pdf.iloc[:1].assign(part=[total.astype(np.float32).tobytes()])
 
-    summed = sample.mapInArrow(sketch, "block long, part binary").groupBy("block").applyInPandas(add, "block long, part binary").collect()
+    summed = words.mapInArrow(sketch, "block long, part binary").groupBy("block").applyInPandas(add, "block long, part binary").collect()
     whole = 1e-6 * omega(wide).astype(np.float64)
     for r in summed:
         whole[r["block"] * size : (r["block"] + 1) * size] += np.frombuffer(r["part"], np.float32).reshape(size, wide)
     basis = np.linalg.qr(whole)[0].astype(np.float32)
-    rows = sample.mapInArrow(gram, "block long, part binary").groupBy("block").applyInPandas(add, "block long, part binary").collect()
+    rows = words.mapInArrow(gram, "block long, part binary").groupBy("block").applyInPandas(add, "block long, part binary").collect()
     second = np.frombuffer(rows[0]["part"], np.float32).reshape(wide, wide).astype(np.float64) if rows else np.eye(wide)
     values, vectors = np.linalg.eigh(second)
     values, vectors = values[::-1][:dimensions], vectors[:, ::-1][:, :dimensions]
@@ -174,7 +211,6 @@ def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     dimensions: int = 56,
-    fit_documents: int = 4000,
     cosine: float = 0.5,
     verbatim: float = 0.8,
     paraphrase: float = 0.6,
@@ -182,13 +218,12 @@ def find_leaks(
     most_items: int = 20_000,
 ) -> DataFrame:
     """doc_id, item_id, similarity (cosine), lcs_share, answer_found, and the window's first word and length."""
-    docs = as_documents(docs)
+    words = checkpointed(looked_up(as_documents(docs)))
     items = read_items(benchmark, least_words, most_items)
-    frequency, n = document_frequencies(docs.select("text").unionByName(benchmark.select(F.col("text").cast("string").alias("text"))))
+    of_items = looked_up(benchmark.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    frequency, n = document_frequencies(words.unionByName(of_items))
     idf = np.log((1 + n) / (1 + frequency)).astype(np.float32)
-    chosen = docs.where("text IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_documents).distinct()
-    sample = checkpointed(docs.join(F.broadcast(chosen), "doc_id").select("text").repartition(8))
-    basis = fit_basis(sample, idf, dimensions) * idf[:, None]
+    basis = fit_basis(words, idf, dimensions) * idf[:, None]
     lengths = sorted({window_length(len(i.ids)) for i in items})
     groups = []
     for length in lengths:
@@ -200,9 +235,8 @@ def find_leaks(
     padded = np.vstack([basis, np.zeros((1, dimensions), np.float32)])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids()
-        for batch in runs(batches, 512 << 10):
-            words = [ids.of(text or "") for text in batch.column("text").to_pylist()]
+        for batch in runs(batches, 320 << 10, "ids"):
+            words = [np.frombuffer(ids, np.uint32) for ids in batch.column("ids").to_pylist()]
             doc_ids = batch.column("doc_id").to_pylist()
             room = np.array([-(-len(w) // whole) * whole for w in words])
             ends = np.cumsum(room)
@@ -236,7 +270,7 @@ def find_leaks(
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")])
 
-    return docs.mapInArrow(search, FOUND)
+    return words.mapInArrow(search, FOUND)
 
 
 def window_length(words: int) -> int:
