@@ -151,6 +151,19 @@ def test_leaks_are_found_and_clean_documents_are_not(spark, none):
     assert decontaminate.find_leaks(docs, benchmark.where("false")).count() == 0
 
 
+def test_paraphrases_of_items_without_an_answer_apart_are_found(spark):
+    items = [(k, prose(9000 + k, 24) + "?") for k in range(8)] + [(k, prose(9000 + k, 6) + ". " + prose(9500 + k, 24) + ".") for k in range(8, 16)]
+    rows, shares = [(i, prose(i, 300)) for i in range(120)], []
+    for k, (_, text) in enumerate(items):
+        words, own = rows[k][1].split(), text.split()
+        altered = [f"other{k}x{j}" if j % 10 in (1, 4, 8) else w for j, w in enumerate(own)]
+        shares.append(sum(a == b for a, b in zip(altered, own, strict=True)) / len(own))
+        rows[k] = (k, " ".join([*words[:64], *altered, *words[64:]]))
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, DOC), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert all(0.65 < x < 0.75 for x in shares)
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(16)} and all(r["lcs_share"] < 0.8 and r["answer_found"] for r in found)
+
+
 def test_the_basis_is_that_of_all_documents(spark, monkeypatch):
     texts = F.array(*[F.lit(prose(k, 40)) for k in range(150)])
     docs = spark.range(4200).select(F.col("id").alias("doc_id"), F.element_at(texts, (F.col("id") % 150 + 1).cast("int")).alias("text"))

@@ -9,8 +9,9 @@
 3. Every window of every document, at the lengths that the items have and with half-length steps, is projected and
    compared with all items by cosine.  The items go to every task: at most `most_items` of them, else it refuses.
 4. Candidates are verified: longest common subsequence of words in the window and its surroundings, as a share of the
-   item; below `verbatim`, a paraphrase must reach `paraphrase` and hold the item's answer (the words of its last
-   sentence) in order.
+   item; below `verbatim`, a paraphrase must reach `paraphrase` and hold the item's answer in order.  The answer is the
+   last sentence: all of it up to `SHORT` words, else a share of `verbatim`.  A last sentence of more than half the
+   item's words, such as the only one, is no answer apart; then half of its rarer half has to be there.
 
 Defined results: null and empty texts match nothing; items of fewer than `least_words` words are not searched for; a
 pair of document and item gives one row, its best place; rows with a null doc_id are searched and reported as such;
@@ -35,6 +36,7 @@ BITS, BLOCKS = 16, 64
 TERMS = 1 << BITS
 SPLIT = bytes.maketrans(bytes(x for x in range(33, 127) if not chr(x).isalnum()), b" " * sum(not chr(x).isalnum() for x in range(33, 127)))
 SENTENCE = regex.compile(r"(?<=[.!?])\s+")
+SHORT = 5
 FOUND = "doc_id long, item_id long, similarity double, lcs_share double, answer_found boolean, start long, n_words long"
 
 
@@ -60,10 +62,20 @@ class Item:
     item_id: int
     ids: list[int]
     answer: list[int]
+    needed: int = 0
 
     def __post_init__(self) -> None:
         self.at, self.answer_at = places(self.ids), places(self.answer)
 
+    def settle(self, frequency: np.ndarray, verbatim: float) -> None:
+        """What has to be found of the answer, by how many texts hold each term."""
+        share = 1.0 if len(self.answer) <= SHORT else verbatim
+        if 2 * len(self.answer) > len(self.ids):
+            rarest = np.argsort(frequency[np.array(self.answer, np.uint32) & np.uint32(TERMS - 1)], kind="stable")
+            self.answer = [self.answer[i] for i in sorted(rarest[: -(-len(self.answer) // 2)])]
+            self.answer_at, share = places(self.answer), 0.5
+        self.needed = int(np.ceil(share * len(self.answer) - 1e-9))
+
 
 def read_items(benchmark: DataFrame, least_words: int, most_items: int) -> list[Item]:
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL").limit(most_items + 1).collect()
@@ -222,6 +234,8 @@ def find_leaks(
     items = read_items(benchmark, least_words, most_items)
     of_items = looked_up(benchmark.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     frequency, n = document_frequencies(words.unionByName(of_items))
+    for item in items:
+        item.settle(frequency, verbatim)
     idf = np.log((1 + n) / (1 + frequency)).astype(np.float32)
     basis = fit_basis(words, idf, dimensions) * idf[:, None]
     lengths = sorted({window_length(len(i.ids)) for i in items})
@@ -262,7 +276,7 @@ def find_leaks(
                         continue
                     near = words[d][max(0, s - length // 2) : s + 3 * length // 2].tolist()
                     if (share := lcs(item.at, len(item.ids), near) / len(item.ids)) >= paraphrase and share > known:
-                        answered = lcs(item.answer_at, len(item.answer), near) == len(item.answer)
+                        answered = lcs(item.answer_at, len(item.answer), near) >= item.needed
                         if share >= verbatim or answered:
                             best[d, item.item_id] = (share, float(scores[w, k] / norms[w]), answered, s)
             rows = [(doc_ids[d], i, sim, share, answered, s, len(words[d])) for (d, i), (share, sim, answered, s) in best.items()]
