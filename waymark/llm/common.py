@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,31 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A copy of df in the shared checkpoint folder; a local folder only where none is configured."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; one of its own only in local mode, where none is configured."""
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A copy of df in the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A copy of df as a Parquet table in the shared checkpoint folder: columns not asked for are not read, and no
+    partitioning is remembered, so that joins with it shuffle both sides and Spark may split what is skewed."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_documents(df: DataFrame, text: str = "text") -> DataFrame:
     """doc_id and text of df alone, so that other columns can't clash with those that an operator adds."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -46,18 +63,28 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, sizes: list[int] | np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose sizes add up to `most` at most, one row at least."""
+    at = total = 0
+    for row, size in enumerate(sizes):
+        if row > at and total + size > most:
+            yield batch.slice(at, row - at)
+            at, total = row, 0
+        total += size
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def runs(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most `most` bytes of text each (one row at least), to bound memory."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-        at = total = 0
-        for row, size in enumerate(sizes):
-            if row > at and total + size > most:
-                yield batch.slice(at, row - at)
-                at, total = row, 0
-            total += size
-        if at < batch.num_rows:
-            yield batch.slice(at)
+        yield from slices(batch, pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), most)
+
+
+def packed_runs(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose `packed` texts have at most `most` bytes when unpacked (one row at least)."""
+    for batch in batches:
+        yield from slices(batch, [0 if x is None else zstandard.frame_content_size(x) for x in batch.column("packed").to_pylist()], most)
 
 
 def text_hash(text: bytes) -> int:

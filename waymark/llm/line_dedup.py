@@ -1,21 +1,24 @@
 """Line dedup by a deletion-neighbourhood join: drop a line if an earlier one is within one word of it.
 
-A line is its words (split at ASCII white space), lower-cased in A-Z; lines of fewer than `min_words` words are never
-dropped.  The edit bound is one word put in, left out or exchanged; that holds every change inside a word.  A line is
-dropped if it equals an earlier line, or is within the bound of one; earlier by doc_id (null first), then by its place.
+A line is its words (split at ASCII white space), lower-cased in A-Z.  The edit bound is one word put in, left out or
+exchanged; that holds every change inside a word.  A line is dropped if it equals an earlier line, or is within the
+bound of one; earlier by doc_id (null first), then by text and place.  Lines of fewer than `min_words` words are
+dropped only if they equal an earlier one: one word of so few is another line.
 
 Only the first occurrence of each distinct line goes on.  Lines that can't have a partner are set aside without loss:
 of two lines within one word of each other, the first or the last half of the words agree, so only lines that share
-such a half with another one emit their deletion neighbourhood, and of the half that they share, nothing.  That is, for each word, the hash of the line without
-it: with the word's place, to meet lines that differ in that word, and without, to meet the lines that are just that
-text.  Each key keeps its earliest line alone, a minimum that is combined before the shuffle, and the join back to the
-lines is one that Spark may split: no group is gathered and no pairs are emitted, however many variants a template
-has.  Keys have 128 bits; the earliest line that a line meets is then verified, word by word.
-
-Defined results: a null text stays null; a line may hold any text, and lines are split at \\n alone; short lines and
-lines without words stay; rows equal in doc_id and text fare alike, as none is the earlier: a line that no other row or
-place has before them stays in each; every row of the input gives one row; an empty table gives no rows; columns other
-than doc_id and text are passed on, except `n_lines` and `dropped`, which are replaced.
+such a half with another one (a count that is combined before the shuffle) emit their deletion neighbourhood, and of
+the half that they share, nothing.  That is, for each word, the hash of the line without it: with the word's place, to
+meet lines that differ in that word, and without, to meet the lines that are just that text.  Each key keeps its
+earliest line alone, a minimum that is combined before the shuffle, and what is joined back is a table that was
+written, so that Spark may split a hot key: no group is gathered and no pairs are emitted, however many variants a
+template has.  Keys have 128 bits; the earliest line that a line meets is then verified, word by word.
+
+Defined results: a null text stays null; a line may hold any text, and lines are split at \\n alone; lines without
+words stay; rows of one doc_id (null too) are told apart by 64 bits of their texts' hashes; rows equal in doc_id and
+text fare alike, as none is the earlier: a line that no other row or place has before them stays in each; every row of
+the input gives one row; an empty table gives no rows; columns other than doc_id and text are passed on, except
+`n_lines` and `dropped`, which are replaced.
 """
 
 from __future__ import annotations
@@ -29,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymark.llm.common import checkpointed, partitions, runs, squeezed, text_hash, texts, unpacked
+from waymark.llm.common import packed_runs, partitions, runs, squeezed, stored, text_hash, texts, unpacked
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two 64-bit halves of a key; odd
 MASK = (1 << 64) - 1
 NO_ID = -(1 << 63)  # stands for a null doc_id
-LINE = ["k1", "k2", "doc", "place", "halves"]  # place: 16 bits that tell texts of one id apart, then the line's number
+PLACE = ["doc", "tag", "number"]  # of a line: doc_id, hash of the text, which line of it
+PLACED, PLACE_KINDS = "doc long, tag long, number int", (pa.int64(), pa.int64(), pa.int32())
 
 
 def signed(x: int) -> int:
@@ -98,54 +102,53 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     n = partitions(docs.sparkSession)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents to their long lines; those that equal an earlier one of the batch come without keys."""
+        """Documents to their lines; those that equal an earlier one of the batch come without keys."""
         for batch in runs(batches, 8 << 20):
             first: dict[bytes, tuple] = {}
             again: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), strict=True):
-                doc, tag = NO_ID if doc_id is None else doc_id, (text_hash(text) & 0xFFFF) << 32
+                doc, tag = NO_ID if doc_id is None else doc_id, text_hash(text)
                 for number, line in enumerate(text.split(b"\n")):
-                    if len(line) >= 2 * min_words - 1 and len(words := line.lower().split()) >= min_words:
-                        key, place = xxhash.xxh3_128_digest(b" ".join(words)), (doc, tag | number)
+                    if words := line.lower().split():
+                        key, place = xxhash.xxh3_128_digest(b" ".join(words)), (doc, tag, number)
                         known = first.get(key)
                         if known is None:
-                            first[key] = (*place, half_keys(words))
-                        elif place < known[:2]:
-                            again.append(known[:2])
-                            first[key] = (*place, known[2])
-                        elif place > known[:2]:  # a repeated row's line is the very line known
+                            first[key] = (*place, half_keys(words) if len(words) >= min_words else [])
+                        elif place < known[:3]:
+                            again.append(known[:3])
+                            first[key] = (*place, known[3])
+                        elif place > known[:3]:  # a repeated row's line is the very line known
                             again.append(place)
             keys = np.frombuffer(b"".join(first), np.int64).reshape(-1, 2)
             rows, m = list(first.values()), len(again)
-            columns = [
-                pa.concat_arrays([pa.array(keys[:, i]), pa.nulls(m, pa.int64())]) for i in (0, 1)
-            ] + [pa.array([r[i] for r in rows] + [r[i] for r in again], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([r[2] for r in rows] + [None] * m, pa.list_(pa.int64()))], LINE)
-
-    lines = docs.select("doc_id", "text").mapInArrow(split, "k1 long, k2 long, doc long, place long, halves array<long>")
-    dealt = lines.repartition(n, F.coalesce("k1", F.xxhash64("doc", "place"))).sortWithinPartitions("k1", "k2", "doc", "place")
-    told = checkpointed(dealt.mapInArrow(firsts, "doc long, place long, halves array<long>"))
-
-    shared = told.where("halves IS NOT NULL").select(F.explode("halves").alias("half"), "doc", "place").repartition(n, "half").sortWithinPartitions("half")
-    partnered = shared.mapInArrow(twice, "doc long, place long, side int").groupBy("doc", "place").agg(F.bit_or("side").alias("sides"))
-    tag = F.shiftright("place", 32)
-    asked = partnered.groupBy("doc", tag.alias("tag")).agg(F.collect_list(F.struct(F.col("place").bitwiseAND((1 << 32) - 1).alias("number"), "sides")).alias("numbers"))
-    candidates = checkpointed(identified(docs.select("doc_id", "text")).join(asked, ["doc", "tag"]).mapInArrow(pick, "doc long, place long, sides int, line binary")).distinct()
-
-    line = F.struct("doc", "place")
-    emitted = candidates.mapInArrow(emit, "v1 long, v2 long, kind int, doc long, place long").withColumn("line", line).drop("doc", "place")
-    emitted = checkpointed(emitted)
+            columns = [pa.concat_arrays([pa.array(keys[:, i]), pa.nulls(m, pa.int64())]) for i in (0, 1)]
+            columns += [pa.array([r[i] for r in rows] + [r[i] for r in again], kind) for i, kind in enumerate(PLACE_KINDS)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([r[3] for r in rows] + [None] * m, pa.list_(pa.int64()))], ["k1", "k2", *PLACE, "halves"])
+
+    lines = docs.select("doc_id", "text").mapInArrow(split, f"k1 long, k2 long, {PLACED}, halves array<long>")
+    dealt = lines.repartition(n, F.coalesce("k1", F.xxhash64("doc", "number"))).sortWithinPartitions("k1", "k2", *PLACE)
+    told = stored(dealt.mapInArrow(firsts, f"{PLACED}, halves array<long>"))
+
+    halves = told.where("size(halves) > 0").select(F.explode("halves").alias("half"), *PLACE)
+    shared = stored(halves.groupBy("half").count().where("count > 1").select("half"))
+    side = F.col("half").bitwiseAND(1).cast("int") + 1
+    asked = stored(halves.join(shared.hint("merge"), "half").groupBy("doc", "tag").agg(F.collect_list(F.struct("number", side.alias("side"))).alias("numbers")))
+    picked = identified(docs.select("doc_id", "text")).join(asked.hint("merge"), ["doc", "tag"]).mapInArrow(pick, f"{PLACED}, sides int, line binary")
+    candidates = stored(picked.dropDuplicates(PLACE))
+
+    line = F.struct(*PLACE)
+    emitted = stored(candidates.mapInArrow(emit, f"v1 long, v2 long, kind int, {PLACED}").select("v1", "v2", "kind", line.alias("line")))
     by_kind = [F.min(F.when(F.col("kind") == k, F.col("line"))).alias(f"least{k}") for k in (0, 1, 2)]
-    least = emitted.groupBy("v1", "v2").agg(*by_kind, F.count("*").alias("members")).where("members > 1")
+    least = stored(emitted.groupBy("v1", "v2").agg(*by_kind, F.count("*").alias("members")).where("members > 1"))
     #: A line meets those without one of its words, those with one word more, and those that differ in one word.
     partner = F.when(F.col("kind") == 0, F.col("least1")).when(F.col("kind") == 1, F.col("least0")).otherwise(F.col("least2"))
-    met = emitted.join(least, ["v1", "v2"]).select("line", partner.alias("partner")).where("partner < line").groupBy("line").agg(F.min("partner").alias("partner"))
+    met = emitted.join(least.hint("merge"), ["v1", "v2"]).select("line", partner.alias("partner")).where("partner < line").groupBy("line").agg(F.min("partner").alias("partner"))
     as_line = lambda name: candidates.select(line.alias(name), F.col("line").alias(f"{name}_text"))
-    verified = met.join(as_line("line"), "line").join(as_line("partner"), "partner").mapInArrow(verify, "doc long, place long")
+    verified = stored(met).join(as_line("line"), "line").join(as_line("partner").hint("merge"), "partner").mapInArrow(verify, PLACED)
 
-    gone = told.where("halves IS NULL").select("doc", "place").unionByName(verified)
-    of_doc = gone.groupBy("doc", tag.alias("tag")).agg(F.array_sort(F.collect_set(F.col("place").bitwiseAND((1 << 32) - 1))).alias("dropped"))
-    joined = identified(docs).join(of_doc, ["doc", "tag"], "left")
+    gone = told.where("halves IS NULL").select(*PLACE).unionByName(verified)
+    of_doc = stored(gone.groupBy("doc", "tag").agg(F.array_sort(F.collect_set(F.col("number").cast("long"))).alias("dropped")))
+    joined = identified(docs).join(of_doc.hint("merge"), ["doc", "tag"], "left")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("dropped", T.ArrayType(T.LongType()))])
     rebuilt = joined.mapInArrow(lambda batches: rebuild(batches, names), schema)
@@ -154,13 +157,12 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
 
 def identified(docs: DataFrame) -> DataFrame:
     """docs with their text packed, and doc and tag, by which lines name them."""
-    packed = squeezed(docs)
-    return packed.withColumns({"doc": F.coalesce("doc_id", F.lit(NO_ID)), "tag": F.col("text_key").bitwiseAND(0xFFFF)}).drop("text_key")
+    return squeezed(docs).withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumnRenamed("text_key", "tag")
 
 
 def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines sorted by key and place: the first of each key as it is, the others without halves; lines of repeated rows once."""
-    last = line = (None, None)
+    last, line = (None, None), None
     for batch in batches:
         new, own = np.ones(batch.num_rows, bool), np.ones(batch.num_rows, bool)
         if batch.num_rows:
@@ -169,43 +171,27 @@ def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
             new[0] = (k1[0], k2[0]) != last
             new &= keyed
-            doc, place = (batch.column(k).to_numpy() for k in ("doc", "place"))
-            own[1:] = new[1:] | ~keyed[1:] | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
-            own[0] = new[0] or not keyed[0] or (doc[0], place[0]) != line
-            last, line = (k1[-1], k2[-1]) if keyed[-1] else (None, None), (doc[-1], place[-1])
+            place = [batch.column(k).to_numpy() for k in PLACE]
+            moved = np.ones(batch.num_rows, bool)
+            moved[1:] = np.any([p[1:] != p[:-1] for p in place], axis=0)
+            moved[0] = tuple(p[0] for p in place) != line
+            own = new | ~keyed | moved
+            last, line = (k1[-1], k2[-1]) if keyed[-1] else (None, None), tuple(p[-1] for p in place)
         halves = pa.compute.if_else(pa.array(new), batch.column("halves"), pa.nulls(batch.num_rows, pa.list_(pa.int64())))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), halves], ["doc", "place", "halves"]).filter(pa.array(own))
-
-
-def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by half: the places of those whose half occurs twice or more, and 1 if it is a start, 2 an end."""
-    held: tuple | None = None  # the last row, if it may yet find a partner
-    last = None
-    for batch in batches:
-        half = batch.column("half").to_numpy()
-        if not len(half):
-            continue
-        same = half[1:] == half[:-1]
-        hit = np.r_[half[0] == last, same] | np.r_[same, False]
-        if held is not None and half[0] == last:
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(held, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["doc", "place", "side"])
-        side = ((half & 1) + 1).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("place"), pa.array(side)], ["doc", "place", "side"]).filter(pa.array(hit))
-        last = half[-1]
-        held = None if hit[-1] else (batch.column("doc")[-1].as_py(), batch.column("place")[-1].as_py(), int(side[-1]))
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in PLACE), halves], [*PLACE, "halves"]).filter(pa.array(own))
 
 
 def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with the places of lines to those lines, their words joined by one space."""
-    for big in batches:
-        for batch in (big.slice(at, 500) for at in range(0, big.num_rows, 500)):
-            out = []
-            for doc, tag, text, numbers in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), unpacked(batch.column("packed")), batch.column("numbers").to_pylist(), strict=True):
-                lines = (text or b"").split(b"\n")
-                out += [(doc, tag << 32 | x["number"], x["sides"], b" ".join(lines[x["number"]].lower().split())) for x in numbers]
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "place", "sides", "line"])
+    """Documents with the numbers of lines to those lines, their words joined by one space, and the halves they share."""
+    for batch in packed_runs(batches):
+        out = []
+        for doc, tag, text, numbers in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), unpacked(batch.column("packed")), batch.column("numbers").to_pylist(), strict=True):
+            lines, sides = (text or b"").split(b"\n"), {}
+            for x in numbers:
+                sides[x["number"]] = sides.get(x["number"], 0) | x["side"]
+            out += [(doc, tag, number, some, b" ".join(lines[number].lower().split())) for number, some in sides.items()]
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [*PLACE_KINDS, pa.int32(), pa.binary()], strict=True)], [*PLACE, "sides", "line"])
 
 
 def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +201,8 @@ def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = [neighbourhood(line.split(b" "), sides) for line, sides in zip(batch.column("line").to_pylist(), batch.column("sides").to_pylist(), strict=True)]
             rows = np.array([k for ks in keys for k in ks], np.int64).reshape(-1, 3)
             at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
-            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), *(batch.column(i).take(at) for i in range(2))]
-            yield pa.RecordBatch.from_arrays(columns, ["v1", "v2", "kind", "doc", "place"])
+            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), *(batch.column(k).take(at) for k in PLACE)]
+            yield pa.RecordBatch.from_arrays(columns, ["v1", "v2", "kind", *PLACE])
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,18 +210,17 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("line_text").to_pylist(), batch.column("partner_text").to_pylist(), strict=True)
         good = batch.column("line").filter(pa.array([within(a.split(b" "), b.split(b" ")) for a, b in pairs], pa.bool_()))
-        yield pa.RecordBatch.from_arrays(good.flatten(), ["doc", "place"])
+        yield pa.RecordBatch.from_arrays(good.flatten(), PLACE)
 
 
 def rebuild(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Joined rows to documents without their dropped lines."""
-    for big in batches:
-        for batch in (big.slice(at, 500) for at in range(0, big.num_rows, 500)):
-            new, counts, gone = [], [], []
-            for text, dropped in zip(unpacked(batch.column("packed")), batch.column("dropped").to_pylist(), strict=True):
-                lines, out = (text or b"").split(b"\n"), set(dropped or ())
-                counts.append(len(lines) if text is not None else 0)
-                gone.append(dropped or [])
-                new.append(text if not out else b"\n".join([x for i, x in enumerate(lines) if i not in out]))
-            columns = {n: batch.column(n) for n in names if n != "text"} | {"text": pa.array(new, pa.binary()).cast(pa.string())}
-            yield pa.RecordBatch.from_arrays([*(columns[n] for n in names), pa.array(counts, pa.int64()), pa.array(gone, pa.list_(pa.int64()))], [*names, "n_lines", "dropped"])
+    for batch in packed_runs(batches):
+        new, counts, gone = [], [], []
+        for text, dropped in zip(unpacked(batch.column("packed")), batch.column("dropped").to_pylist(), strict=True):
+            lines, out = (text or b"").split(b"\n"), set(dropped or ())
+            counts.append(len(lines) if text is not None else 0)
+            gone.append(dropped or [])
+            new.append(text if not out else b"\n".join([x for i, x in enumerate(lines) if i not in out]))
+        columns = {n: batch.column(n) for n in names if n != "text"} | {"text": pa.array(new, pa.binary()).cast(pa.string())}
+        yield pa.RecordBatch.from_arrays([*(columns[n] for n in names), pa.array(counts, pa.int64()), pa.array(gone, pa.list_(pa.int64()))], [*names, "n_lines", "dropped"])
