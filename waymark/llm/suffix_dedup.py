@@ -8,14 +8,18 @@ strings have equal anchors at equal offsets, so whatever repeats meets where its
    are repeats already.  Anchors go to buckets by hash, as compressed columns.
 2. A bucket compares anchors by context: an equal one in an earlier document makes a whole context a repeat.  Anchors
    that occur with different contexts, which is where repeats begin or end, ask for their texts.
-3. Their contexts go to a run-length index: the contexts' suffixes are sorted to the depth `width`, the bytes before
-   them are the Burrows-Wheeler transform, and it is held as runs, each with a sample at its head: the smallest
-   document of the run.  Copies of a context make one run.  The contexts are streamed past the index, and a position
-   whose match reaches `width` in an interval with a smaller sample is the start of a repeat.
+3. Some thousand anchors' contexts at a time make a run-length index (`runlength`): a Burrows-Wheeler transform held
+   as runs, each with a sample at its head, the smallest document that it comes from.  Copies of a context make one
+   run.  The contexts are streamed past the index by backward search, and a position whose matching statistic reaches
+   `width` with a sample of an earlier document is the start of a repeat.
 4. Repeats are merged per document and cut from its text.
 
-Memory of a task is its bucket's anchors; buckets are as many as the session's shuffle partitions.  Hashes of anchors
-and contexts have 80 bits with the bucket's.
+An anchor with more than `hot` different contexts in one batch, such as a common phrase in ever new surroundings, does
+not go to its bucket but for a mark; then all strings around it, from every batch, meet by their own 128-bit hashes
+instead, in a minimum that is combined before the shuffle, and a join that Spark may split.
+
+Memory of a task is its bucket's anchors, at most `hot` contexts of each from a batch; buckets are as many as the
+session's shuffle partitions.  Hashes of anchors and contexts have 96 bits and the bucket's.
 
 Defined results: text is UTF-8 bytes, null is empty; a document never repeats itself, nor another row of its doc_id; a
 null doc_id comes before all others; rows equal in doc_id and text fare alike; every row gives one row; an empty table
@@ -30,17 +34,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import as_documents, checkpointed, compress, partitions, runs, squeezed, text_hash, texts, unpacked
+from waymark.llm.common import as_documents, compress, packed_runs, partitions, squeezed, stored, unpacked
+from waymark.llm.runlength import RunLengthIndex
 
 NO_ID = -(1 << 63)  # stands for a null doc_id
 SEGMENT = 1 << 20  # bytes hashed at a time
 BASE = 0x9E3779B97F4A7C15
 TOP = np.uint64(21)  # bits of a place within a segment; SEGMENT and its overlap fit
-ROW = np.dtype([("h", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("tag", "<u2"), ("left", "u1"), ("right", "u1"), ("pos", "<u4"), ("doc", "<i8")])
+ROW = np.dtype([("h", "<u4"), ("c1", "<u4"), ("c2", "<u4"), ("left", "u1"), ("right", "u1"), ("pos", "<u4"), ("doc", "<i8"), ("row", "<i8")])
+MARK = 255  # in place of `left`: the anchor is hot
+BATCH = 50_000  # contexts of an index
+FOUND = "bucket int, blob binary, row long, low long, high long, w1 long, w2 long, doc long"
+COMPARED = "row long, low long, high long, w1 long, w2 long, doc long, left int, right int, anchor long"
 
 
 @lru_cache(maxsize=2)
@@ -118,90 +128,84 @@ def starts_of(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[len(columns[0]) > 0, changed])
 
 
-def merged(doc: np.ndarray, tag: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Unions of the intervals of each document."""
-    if not len(doc):
-        return doc, tag, low, high
-    order = np.lexsort((low, tag, doc))
-    doc, tag, low, high = doc[order], tag[order], low[order], high[order]
-    group = np.zeros(len(doc), np.int64)
-    group[starts_of(doc, tag)] = 1
-    lift = np.cumsum(group) * (1 << 33)  # keeps documents apart in one running maximum
+def merged(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Unions of the intervals of each row."""
+    if not len(row):
+        return row, low, high
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order], high[order]
+    group = np.zeros(len(row), np.int64)
+    group[starts_of(row)] = 1
+    lift = np.cumsum(group) * (1 << 33)  # keeps rows apart in one running maximum
     reached = np.maximum.accumulate(high + lift)
     new = np.r_[True, low[1:] + lift[1:] > reached[:-1]]
     at = np.flatnonzero(new)
-    return doc[at], tag[at], low[at], (reached - lift)[np.r_[at[1:] - 1, len(doc) - 1]]
+    return row[at], low[at], (reached - lift)[np.r_[at[1:] - 1, len(row) - 1]]
+
+
+def frame(schema: str, n: int, **columns: object) -> pa.RecordBatch:
+    """n rows of the columns given; the others of the schema are null."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    arrays = [pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(n, kinds[kind]) for name, kind in fields]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
+
+
+def covers(schema: str, row: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+    row, low, high = merged(row.astype(np.int64), low.astype(np.int64), high.astype(np.int64))
+    return frame(schema, len(row), row=row, low=low, high=high)
+
 
+def covers_of(schema: str, rows: np.ndarray, seed: int) -> pa.RecordBatch:
+    """The whole contexts of anchors."""
+    at = rows["pos"].astype(np.int64)
+    return covers(schema, rows["row"], at - rows["left"], at + seed + rows["right"])
 
-def covers(doc: np.ndarray, tag: np.ndarray, low: np.ndarray, high: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    doc, tag, low, high = merged(doc.astype(np.int64), tag.astype(np.int64), low.astype(np.int64), high.astype(np.int64))
-    known = {"doc": pa.array(doc), "tag": pa.array(tag.astype(np.int32)), "low": pa.array(low), "high": pa.array(high)}
-    nulls = {"left": pa.nulls(len(doc), pa.int32()), "right": pa.nulls(len(doc), pa.int32()), "anchor": pa.nulls(len(doc), pa.int64())}
-    nulls |= {"bucket": pa.nulls(len(doc), pa.int32()), "blob": pa.nulls(len(doc), pa.binary())}
-    return pa.RecordBatch.from_arrays([(known | nulls)[n] for n in names], names)
+
+def windows_of(schema: str, found: list[tuple[int, int, int, bytes]], width: int) -> pa.RecordBatch:
+    """The strings of contexts (row, doc, place, bytes) by their hashes."""
+    out = [(row, low + i, doc, xxhash.xxh3_128_digest(context[i : i + width])) for row, doc, low, context in found for i in range(len(context) - width + 1)]
+    keys = np.frombuffer(b"".join(x[3] for x in out), np.int64).reshape(-1, 2)
+    return frame(schema, len(out), row=[x[0] for x in out], low=[x[1] for x in out], doc=[x[2] for x in out], w1=keys[:, 0], w2=keys[:, 1])
 
 
 def index_repeats(contexts: list[bytes], docs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(context, start) of every `width`-byte string in the contexts that a context of a smaller document holds.
+    """(context, start) of every `width`-byte string in the contexts that a context of a smaller document holds."""
+    if not contexts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    which, start, length, sample = RunLengthIndex.of(contexts, docs, width).matches(contexts)
+    hit = (length == width) & (sample < docs[which])
+    return which[hit], start[hit]
 
-    The index is a Burrows-Wheeler transform of the suffixes of `width` bytes and more, sorted to that depth, as runs
-    of equal bytes within an interval of equal strings; a run's sample is the smallest document at its head.
-    """
-    sizes = np.array([len(c) for c in contexts], np.int64)
-    ends = np.cumsum(sizes)
-    counts = np.maximum(sizes - width + 1, 0)
-    which = np.repeat(np.arange(len(contexts)), counts)
-    inner = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = (ends - sizes)[which] + inner
-    text = np.frombuffer(b"".join(contexts) + bytes(16), np.uint8)
-    words = np.zeros(len(text) - 8, np.uint64)
-    for i in range(8):
-        words = words << np.uint64(8) | text[i : len(text) - 8 + i].astype(np.uint64)
-    rest = width % 8
-    keys = [words[at + i] for i in range(0, width - rest, 8)]
-    if rest:
-        keys.append(words[at + width - rest] >> np.uint64(8 * (8 - rest)))
-    before = np.where(inner > 0, text[at - 1], 0)
-    order = np.lexsort((docs[which], before, *keys[::-1]))  # the suffix array, to the depth `width`
-    interval = starts_of(*(k[order] for k in keys))
-    runs_at = starts_of(before[order], *(k[order] for k in keys))
-    samples = docs[which][order][runs_at]
-    if not len(order):
-        return which, inner
-    least = np.minimum.reduceat(samples, np.searchsorted(runs_at, interval))
-    number = np.repeat(least, np.diff(np.r_[interval, len(order)]))
-    hit = order[docs[which][order] > number]
-    return which[hit], inner[hit]
-
-
-def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24) -> DataFrame:
+
+def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24, hot: int = 64) -> DataFrame:
     """doc_id, text (binary: what is left), n_bytes, n_removed, spans (array of struct(low, high), the removed runs)."""
-    if not 8 <= seed < width <= 256:
-        raise ValueError("takes a seed of 8 bytes or more that is shorter than the width, and a width of 256 at most")
+    if not 8 <= seed < width <= 250:
+        raise ValueError("takes a seed of 8 bytes or more that is shorter than the width, and a width of 250 at most")
     buckets = partitions(docs.sparkSession)
-    whole = as_documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    cover_names = ["bucket", "blob", "doc", "tag", "low", "high"]
+    whole = as_documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text", F.monotonically_increasing_id().alias("row"))
+    packed = stored(squeezed(whole).drop("text_key"))  # rows keep the numbers that they have there
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, 8 << 20):
-            found: list[np.ndarray] = []
+        for batch in packed_runs(batches):
+            found: list[tuple[np.ndarray, np.ndarray]] = []
             parts: list[tuple[int, bytes]] = []
             owners: list[tuple[int, int]] = []
             held = 0
 
             def flush() -> None:
                 part, pos, left, right, h, c = anchors(parts, width, seed)
-                rows, full = np.zeros(len(part), ROW), np.zeros(len(part), np.uint64)
+                rows = np.zeros(len(part), ROW)
                 owner = np.array(owners, np.int64).reshape(-1, 2)[part]
-                rows["doc"], rows["tag"], rows["pos"], rows["left"], rows["right"] = owner[:, 0], owner[:, 1], pos, left, right
-                rows["h"], rows["c1"], rows["c2"] = h >> np.uint64(32), c >> np.uint64(32), c & np.uint64(0xFFFF)
-                full[:] = h % np.uint64(buckets)
-                found.append((rows, full))
+                rows["doc"], rows["row"], rows["pos"], rows["left"], rows["right"] = owner[:, 0], owner[:, 1], pos, left, right
+                rows["h"], rows["c1"], rows["c2"] = h >> np.uint64(32), c >> np.uint64(32), c & np.uint64(0xFFFFFFFF)
+                found.append((rows, h % np.uint64(buckets)))
                 parts.clear()
                 owners.clear()
 
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), strict=True):
-                tag = text_hash(text) & 0xFFFF
+            given = [x or b"" for x in unpacked(batch.column("packed"))]
+            rows_of = batch.column("row").to_pylist()
+            for doc, row, text in zip(batch.column("doc").to_pylist(), rows_of, given, strict=True):
                 for start in range(0, max(1, len(text) - width + 1), SEGMENT - width):
                     piece = text[start : start + SEGMENT - 1]
                     if len(piece) < width:
@@ -210,30 +214,39 @@ def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24) -> DataFram
                         flush()
                         held = 0
                     parts.append((start, piece))
-                    owners.append((doc_id, tag))
+                    owners.append((doc, row))
                     held += len(piece)
             if parts:
                 flush()
             if not found:
                 continue
             rows, bucket = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((rows["pos"], rows["tag"], rows["doc"], rows["c2"], rows["c1"], rows["h"]))
+            order = np.lexsort((rows["pos"], rows["row"], rows["doc"], rows["c2"], rows["c1"], rows["h"], bucket))
             rows, bucket = rows[order], bucket[order]
-            groups = starts_of(rows["h"], rows["c1"], rows["c2"])
+            groups = starts_of(bucket, rows["h"], rows["c1"], rows["c2"])
             first = np.repeat(rows["doc"][groups], np.diff(np.r_[groups, len(rows)]))
             again = rows["doc"] > first
-            gone = rows[again]
-            yield covers(gone["doc"], gone["tag"], gone["pos"].astype(np.int64) - gone["left"], gone["pos"].astype(np.int64) + seed + gone["right"], cover_names)
-            rows, bucket = rows[~again], bucket[~again]
+            yield covers_of(FOUND, rows[again], seed)
+            by_anchor = starts_of(bucket, rows["h"])
+            kinds = np.diff(np.r_[np.searchsorted(groups, by_anchor), len(groups)])
+            crowded = np.repeat(kinds > hot, np.diff(np.r_[by_anchor, len(rows)]))
+            if crowded.any():
+                texts_of = dict(zip(rows_of, given, strict=True))
+                for some in np.array_split(rows[crowded & ~again], max(1, int(crowded.sum()) // 2000)):
+                    around = [(int(r["row"]), int(r["doc"]), int(r["pos"]) - int(r["left"]), int(r["pos"]) + seed + int(r["right"])) for r in some]
+                    yield windows_of(FOUND, [(row, doc, low, texts_of[row][low:high]) for row, doc, low, high in around], width)
+                marks = np.zeros(len(rows), bool)
+                marks[by_anchor[kinds > hot]] = True
+                rows["left"][marks] = MARK
+                keep = marks | ~(crowded | again)
+            else:
+                keep = ~again
+            rows, bucket = rows[keep], bucket[keep]
             order = np.lexsort((rows["pos"], rows["doc"], bucket))
             rows, bucket = rows[order], bucket[order]
             at = starts_of(bucket)
             blobs = [pack_rows(x) for x in np.split(rows, at[1:])] if len(rows) else []
-            n = len(blobs)
-            columns = [pa.array(bucket[at].astype(np.int32)), pa.array(blobs, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, cover_names)
-
-    out_names = ["doc", "tag", "low", "high", "left", "right", "anchor"]
+            yield frame(FOUND, len(blobs), bucket=bucket[at].astype(np.int32), blob=blobs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
@@ -241,64 +254,64 @@ def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24) -> DataFram
             blob = batch.column("blob")
             sent = batch.filter(blob.is_null())
             if sent.num_rows:
-                n = sent.num_rows
-                columns = {k: sent.column(k) for k in ("doc", "tag", "low", "high")} | {"left": pa.nulls(n, pa.int32()), "right": pa.nulls(n, pa.int32()), "anchor": pa.nulls(n, pa.int64())}
-                yield pa.RecordBatch.from_arrays([columns[k] for k in out_names], out_names)
-            for bucket, packed in zip(batch.column("bucket").to_pylist(), blob.to_pylist(), strict=True):
-                if packed is not None:
-                    held.setdefault(bucket, []).append(unpack_rows(packed))
+                yield frame(COMPARED, sent.num_rows, **{k: sent.column(k) for k in ("row", "low", "high", "w1", "w2", "doc")})
+            for bucket, some in zip(batch.column("bucket").to_pylist(), blob.to_pylist(), strict=True):
+                if some is not None:
+                    held.setdefault(bucket, []).append(unpack_rows(some))
         for bucket in list(held):
             rows = np.concatenate(held.pop(bucket))
+            marked = np.unique(rows["h"][rows["left"] == MARK])
+            rows = rows[rows["left"] != MARK]
             ordered = np.sort(rows["h"])
             twice = ordered[1:][ordered[1:] == ordered[:-1]]
-            rows = rows[np.isin(rows["h"], twice)]
-            rows = rows[np.lexsort((rows["pos"], rows["tag"], rows["doc"], rows["c2"], rows["c1"], rows["h"]))]
+            rows = rows[np.isin(rows["h"], np.union1d(twice, marked))]
+            rows = rows[np.lexsort((rows["pos"], rows["row"], rows["doc"], rows["c2"], rows["c1"], rows["h"]))]
             if not len(rows):
                 continue
             by_h, by_c = starts_of(rows["h"]), starts_of(rows["h"], rows["c1"], rows["c2"])
             size_h, size_c = np.diff(np.r_[by_h, len(rows)]), np.diff(np.r_[by_c, len(rows)])
             first = np.repeat(rows["doc"][by_c], size_c)
-            gone = rows[rows["doc"] > first]
-            yield covers(gone["doc"], gone["tag"], gone["pos"].astype(np.int64) - gone["left"], gone["pos"].astype(np.int64) + seed + gone["right"], out_names)
+            yield covers_of(COMPARED, rows[rows["doc"] > first], seed)
             kinds = np.searchsorted(by_c, np.r_[by_h[1:], len(rows)]) - np.searchsorted(by_c, by_h)
             apart = np.minimum.reduceat(rows["doc"], by_h) != np.maximum.reduceat(rows["doc"], by_h)
-            asks = rows[np.repeat((kinds > 1) & apart, size_h) & (rows["doc"] == first)]
-            columns = {
-                "doc": pa.array(asks["doc"]),
-                "tag": pa.array(asks["tag"].astype(np.int32)),
-                "low": pa.array(asks["pos"].astype(np.int64)),
-                "high": pa.nulls(len(asks), pa.int64()),
-                "left": pa.array(asks["left"].astype(np.int32)),
-                "right": pa.array(asks["right"].astype(np.int32)),
-                "anchor": pa.array(np.int64(bucket) << np.int64(32) | asks["h"].astype(np.int64)),
-            }
-            yield pa.RecordBatch.from_arrays([columns[k] for k in out_names], out_names)
+            crowded = np.isin(rows["h"], marked)
+            asks = (np.repeat((kinds > 1) & apart, size_h) | crowded) & (rows["doc"] == first)
+            crowded, asks = crowded[asks], rows[asks]
+            anchor = np.int64(bucket) << np.int64(32) | asks["h"].astype(np.int64)
+            yield frame(
+                COMPARED, len(asks), row=asks["row"], doc=asks["doc"], low=asks["pos"].astype(np.int64), left=asks["left"].astype(np.int32), right=asks["right"].astype(np.int32),
+                anchor=np.where(crowded, -1, anchor),
+            )
+
+    contexts_schema = "anchor long, context binary, row long, low long, w1 long, w2 long, doc long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Requests with their text to contexts."""
-        for big in batches:
-            for batch in (big.slice(at, 200) for at in range(0, big.num_rows, 200)):
-                rows = []
-                for doc, tag, text, asks in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), unpacked(batch.column("packed")), batch.column("asks").to_pylist(), strict=True):
-                    for a in asks:
-                        low = a["low"] - a["left"]
-                        rows.append((a["anchor"], doc, tag, low, text[low : a["low"] + seed + a["right"]]))
-                columns = list(zip(*rows, strict=True)) or [()] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "doc", "tag", "low", "context"])
+        """Requests with their text to contexts, those of hot anchors to hashed strings."""
+        for batch in packed_runs(batches):
+            plain, crowded = [], []
+            for doc, row, text, asks in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), unpacked(batch.column("packed")), batch.column("asks").to_pylist(), strict=True):
+                for a in asks:
+                    low = a["low"] - a["left"]
+                    (plain if a["anchor"] >= 0 else crowded).append((row, doc, low, text[low : a["low"] + seed + a["right"]], a["anchor"]))
+            columns = list(zip(*plain, strict=True)) or [()] * 5
+            yield frame(contexts_schema, len(plain), **dict(zip(("row", "doc", "low", "context", "anchor"), columns, strict=True)))
+            if crowded:
+                yield windows_of(contexts_schema, [x[:4] for x in crowded], width)
+
+    spans_schema = "row long, low long, high long"
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Contexts sorted by anchor to the repeats that the run-length index of some thousand anchors' contexts finds."""
         held: list[pa.RecordBatch] = []
 
         def search(some: pa.Table) -> pa.RecordBatch:
-            doc, tag, low = (some.column(k).to_numpy() for k in ("doc", "tag", "low"))
+            doc, row, low = (some.column(k).to_numpy() for k in ("doc", "row", "low"))
             which, start = index_repeats(some.column("context").to_pylist(), doc, width)
-            return covers(doc[which], tag[which], low[which] + start, low[which] + start + width, ["doc", "tag", "low", "high"])
+            return covers(spans_schema, row[which], low[which] + start, low[which] + start + width)
 
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= 50_000:
+            if sum(b.num_rows for b in held) >= BATCH:
                 joined = pa.Table.from_batches(held)
                 anchor = joined.column("anchor").to_numpy()
                 end = int(np.searchsorted(anchor, anchor[-1]))
@@ -308,35 +321,37 @@ def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24) -> DataFram
         if held:
             yield search(pa.Table.from_batches(held))
 
-    found = whole.mapInArrow(find, "bucket int, blob binary, doc long, tag int, low long, high long")
-    dealt = found.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("doc", "tag"), F.lit(buckets)).cast("int")))
-    compared = checkpointed(dealt.mapInArrow(compare, "doc long, tag int, low long, high long, left int, right int, anchor long"))
-    packed = squeezed(whole).select(F.col("doc_id").alias("doc"), F.col("text_key").bitwiseAND(0xFFFF).cast("int").alias("tag"), "packed")
-    asks = compared.where("anchor IS NOT NULL").groupBy("doc", "tag").agg(F.collect_list(F.struct("low", "left", "right", "anchor")).alias("asks"))
-    contexts = packed.join(asks, ["doc", "tag"]).mapInArrow(cut, "anchor long, doc long, tag int, low long, context binary")
-    repeats = contexts.repartition(buckets, "anchor").sortWithinPartitions("anchor").mapInArrow(index, "doc long, tag int, low long, high long")
-    spans = compared.where("anchor IS NULL").select("doc", "tag", "low", "high").unionByName(repeats)
-    spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    found = packed.mapInArrow(find, FOUND)
+    dealt = found.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("row", "low"), F.lit(buckets)).cast("int")))
+    compared = stored(dealt.mapInArrow(compare, COMPARED))
+    asks = compared.where("anchor IS NOT NULL").groupBy(F.col("row").alias("asking")).agg(F.collect_list(F.struct("low", "left", "right", "anchor")).alias("asks"))
+    contexts = stored(packed.join(asks.hint("merge"), packed["row"] == asks["asking"]).mapInArrow(cut, contexts_schema))
+    ordered = contexts.where("anchor IS NOT NULL").select("anchor", "context", "row", "low", "doc").repartition(buckets, "anchor").sortWithinPartitions("anchor")
+    repeats = ordered.mapInArrow(index, spans_schema)
+    strings = compared.where("w1 IS NOT NULL").select("w1", "w2", "row", "low", "doc").unionByName(contexts.where("w1 IS NOT NULL").select("w1", "w2", "row", "low", "doc"))
+    least = stored(strings.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most"))
+    crowded = strings.join(least.hint("merge"), ["w1", "w2"]).where("doc > least").select("row", "low", (F.col("low") + width).alias("high"))
+    spans = compared.where("high IS NOT NULL").select("row", "low", "high").unionByName(repeats).unionByName(crowded)
+    spans = spans.groupBy(F.col("row").alias("of_row")).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for batch in (big.slice(at, 200) for at in range(0, big.num_rows, 200)):
-                rows = []
-                for doc, text, found in zip(batch.column("doc").to_pylist(), unpacked(batch.column("packed")), batch.column("spans").to_pylist(), strict=True):
-                    text, kept, at, joined = text or b"", [], 0, []
-                    for low, high in sorted((s["low"], s["high"]) for s in found or ()):
-                        if joined and low <= joined[-1]["high"]:
-                            joined[-1]["high"] = max(joined[-1]["high"], high)
-                        else:
-                            joined.append({"low": low, "high": high})
-                    for s in joined:
-                        kept.append(text[at : s["low"]])
-                        at = s["high"]
-                    left = b"".join([*kept, text[at:]])
-                    rows.append((None if doc == NO_ID else doc, left, len(text), len(text) - len(left), joined, hashlib.sha256(left).hexdigest()))
-                columns = list(zip(*rows, strict=True)) or [()] * 6
-                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())])), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text", "n_bytes", "n_removed", "spans", "sha256"])
-
-    joined = packed.join(spans, ["doc", "tag"], "left").select("doc", "packed", "spans")
+        for batch in packed_runs(batches):
+            rows = []
+            for doc, text, found in zip(batch.column("doc").to_pylist(), unpacked(batch.column("packed")), batch.column("spans").to_pylist(), strict=True):
+                text, kept, at, joined = text or b"", [], 0, []
+                for low, high in sorted((s["low"], s["high"]) for s in found or ()):
+                    if joined and low <= joined[-1]["high"]:
+                        joined[-1]["high"] = max(joined[-1]["high"], high)
+                    else:
+                        joined.append({"low": low, "high": high})
+                for s in joined:
+                    kept.append(text[at : s["low"]])
+                    at = s["high"]
+                left = b"".join([*kept, text[at:]])
+                rows.append((None if doc == NO_ID else doc, left, len(text), len(text) - len(left), joined, hashlib.sha256(left).hexdigest()))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())])), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text", "n_bytes", "n_removed", "spans", "sha256"])
+
+    joined = packed.join(spans.hint("merge"), packed["row"] == spans["of_row"], "left").select("doc", "packed", "spans")
     return joined.mapInArrow(remove, "doc_id long, text binary, n_bytes long, n_removed long, spans array<struct<low long, high long>>, sha256 string")
