@@ -5,8 +5,9 @@ windows; the rest goes to the open window where it leaves least room; where none
 a new one opened.  What is still open when a partition ends goes to a second pass, which merges the leftovers of
 `merge_factor` partitions by best fit in decreasing order.  Tasks hold windows' fill levels and pieces, never texts.
 
-`Words` gives the ids of the public tokenizer: it splits at white space, looks each chunk up in a bounded cache, and
-encodes the chunks that are new by byte pairs.  Texts that hold a special token's string go through `tokenizers`.
+`Words` gives the ids of the public tokenizer: it splits at white space and looks each chunk up in a bounded cache;
+ASCII chunks that are new are encoded by byte pairs, others by `tokenizers` itself, whose Unicode tables aren't
+Python's.  Texts that hold a special token's string go through `tokenizers` whole.
 
 Defined results: a null or empty text is its end token alone; every input row is packed, repeated rows too; an empty
 table gives no rows; further columns are ignored.
@@ -15,7 +16,6 @@ table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import json
-import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -33,6 +33,7 @@ from waymark.llm.common import as_documents, partitions, runs
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer does not
 SPACE = regex.compile(r"\s+")
+LONG = 100  # characters of a chunk above which it is not kept
 
 
 class Words:
@@ -66,29 +67,32 @@ class Words:
         hidden = [b for b in range(256) if b not in shown]
         return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
+    def whole(self, text: str) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
     def chunk(self, text: str) -> bytes:
         """Ids of a text without white space."""
-        if text.isascii():
-            lowered = text.lower()
-            parts = [lowered] if lowered.isalpha() else self.parts.findall(lowered)
-        else:
-            parts = self.parts.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        if not text.isascii():
+            return self.whole(text)
+        lowered = text.lower()
+        parts = [lowered] if lowered.isalpha() else self.parts.findall(lowered)
         piece, ids = self.pairs.encode_single_piece, self.ids
         return b"".join([ids[i] for part in parts for i in piece(part.encode() + b"\xff")])
 
     def encode(self, text: str) -> bytes:
         if any(x in text for x in self.special):
-            return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
+            return self.whole(text)
         chunks, cache = SPACE.split(text) if SEPARATORS.search(text) else text.split(), self.cache
         try:
             return b"".join([cache[c] for c in chunks])
         except KeyError:
             if len(cache) > self.cached:
                 cache.clear()
+            long = {}
             for c in chunks:
                 if c not in cache:
-                    cache[c] = self.chunk(c)
-            return b"".join([cache[c] for c in chunks])
+                    (cache if len(c) <= LONG else long)[c] = self.chunk(c)
+            return b"".join([cache[c] if c in cache else long[c] for c in chunks])
 
 
 class Windows:
@@ -132,7 +136,7 @@ class Windows:
         return out
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, open_windows: int = 64, merge_factor: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, open_windows: int = 64, merge_factor: int = 16) -> DataFrame:
     """The pieces of all documents, in the columns of PIECES; sequence_id numbers windows, with gaps."""
     end = end_id.to_bytes(4, "little")
 
