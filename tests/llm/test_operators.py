@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from waymark.llm import chat_format, decontaminate, html_text, line_dedup, packing, quality_rules, simhash, suffix_dedup, token_counts, toxicity
+from waymark.llm import chat_format, decontaminate, html_text, line_dedup, packing, quality_rules, runlength, simhash, suffix_dedup, token_counts, toxicity
 from waymark.llm.components import components
 
 WORDS = "alpha bravo charlie delta echo foxtrot golf hotel india juliett kilo lima mike november oscar papa quebec romeo sierra tango".split()
@@ -87,6 +87,32 @@ def test_suffix_dedup_equals_brute_force(docs, rows, none):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_suffix_dedup_of_hot_anchors_equals_brute_force(spark):
+    phrase = "a phrase of some forty bytes that is common"
+    rows = [(k % 150, prose(k, 9) + phrase + prose(3000 + k % 90, 9)) for k in range(200)] + [(None, f"{k} {phrase} {k}" + "!" * 70) for k in range(20)]
+    for hot in (1, 64):
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, DOC).repartition(3), hot=hot).collect()
+        assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), r["sha256"]) for r in got) == brute_repeats(rows)
+
+
+def test_matching_statistics_equal_brute_force():
+    dice = random.Random(3)
+    for width in (9, 20, 50):
+        alphabet = bytes(range(256)) if width == 9 else b"ab\x00\xff"
+        strings = [bytes(dice.choice(alphabet) for _ in range(dice.randrange(60))) for _ in range(30)]
+        strings += [s[3:] + t[:20] for s, t in zip(strings, strings[5:], strict=False)] + [b"", strings[2], strings[2]]
+        labels = np.array([dice.randrange(20) for _ in strings])
+        index = runlength.RunLengthIndex.of(strings, labels, width)
+        least = {}
+        for s, label in zip(strings, labels.tolist(), strict=True):
+            for n in range(width + 1):
+                for p in range(len(s) - n + 1):
+                    least[s[p : p + n]] = min(least.get(s[p : p + n], 99), label)
+        expected = {(k, p): (min(width, len(s) - p), least[s[p : p + width]] if len(s) - p >= width else -1) for k, s in enumerate(strings) for p in range(len(s))}
+        assert {(k, p): (n, x) for k, p, n, x in zip(*(c.tolist() for c in index.matches(strings)), strict=True)} == expected
+        assert len(index.rows) < index.n
+
+
 def test_suffix_dedup_over_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 400)
     dice = random.Random(1)
@@ -304,8 +330,16 @@ def test_packing(docs, rows, none):
 def test_tokenizer_ids_are_the_library_s():
     path = public_tokenizers.path("word_bpe_49k.json")
     words = packing.Words(path, cached=3)
-    for text in ["Σίσυφος ΟΔΟΣ", "İstanbul's don't", "a\x1cb ć", "😀 x‍y 123 ½", "<|endoftext|> hi", "　\x85\xa0x", "ﬁne Ǆ", "'s'S 'T", "Größe ÉTÉ, (x)!"]:
-        assert words.encode(text) == np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    whole = lambda text: np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for text in ["Σίσυφος ΟΔΟΣ", "İstanbul's don't", "a\x1cb ć", "😀 x‍y 123 ½", "<|endoftext|> hi", "　\x85\xa0x", "ﬁne Ǆ", "'s'S 'T", "Größe ÉTÉ, (x)!", "ab" * 400]:
+        assert words.encode(text) == whole(text)
+    points = [chr(i) for i in range(1, 0x3000)] + [chr(i) for i in range(0xA000, 0xABFF)] + [chr(i) for i in range(0x1D000, 0x1E900, 7)]
+    for text in ["".join(points[i : i + 40]) for i in range(0, len(points), 40)] + [f"a\u0301{p}\u0323 {p} x{p}Y" for p in points]:
+        assert words.encode(text) == whole(text), text
+
+
+def repeats(words, earlier):
+    return words in earlier or (len(words) >= 5 and any(line_dedup.within(words, e) for e in earlier if len(e) >= 5))
 
 
 def test_line_dedup_equals_brute_force(spark, docs, rows, none):
@@ -318,7 +352,7 @@ def test_line_dedup_equals_brute_force(spark, docs, rows, none):
         words[at : at + (how != 1)] = [["other"], ["put"], []][how]
         near.append(words)
     template = [["order", "number", str(k), "has", "been", "shipped"] for k in range(50)]
-    pool = [" ".join(w) for w in lines + near + template] + ["short line", ""]
+    pool = [" ".join(w) for w in lines + near + template] + ["short line", "Short  line", "short lines", ""]
     dice.shuffle(pool)
     rows = [(i, "\n".join(pool[4 * i : 4 * i + 4] + [pool[0].upper() + "  "])) for i in range(len(pool) // 4)] + [(200, None), (201, ""), (None, pool[0] + "\nsome other text of its own here")]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOC).withColumn("place", F.lit(1))).collect()
@@ -327,10 +361,9 @@ def test_line_dedup_equals_brute_force(spark, docs, rows, none):
         expected[i] = []
         for n, line in enumerate((t or "").split("\n")):
             words = line.lower().encode().split()
-            if len(words) >= 5:
-                if any(line_dedup.within(words, e) for e in earlier):
-                    expected[i].append(n)
-                earlier.append(words)
+            if words and repeats(words, earlier):
+                expected[i].append(n)
+            earlier.append(words)
     assert {r["doc_id"]: r["dropped"] for r in got} == expected
     by = {r["doc_id"]: r for r in got}
     assert by[200]["text"] is None and by[201]["text"] == "" and all(r["place"] == 1 for r in got)
@@ -345,17 +378,22 @@ def test_line_dedup_keeps_a_copy_of_repeated_rows(spark, rows, pieces):
     rows = [*rows, *rows[:3], (300, prose(77, 12)), (300, prose(77, 12)), (300, prose(77, 12)), (301, prose(77, 12) + " more"), (None, base := prose(78, 9)), (None, base), (302, base)]
     rows = [r for r in rows if len(r[1] or "") < 10_000]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOC).repartition(pieces)).collect()
-    keyed = {(line_dedup.NO_ID if i is None else i, line_dedup.text_hash((t or "").encode()) & 0xFFFF): (i, t) for i, t in rows}
+    keyed = {(line_dedup.NO_ID if i is None else i, line_dedup.text_hash((t or "").encode())): (i, t) for i, t in rows}
     earlier, kept = [], {}
     for key in sorted(keyed):
         i, t = keyed[key]
         left = []
         for line in (t or "").split("\n"):
             words = line.lower().encode().split()
-            if len(words) < 5 or not any(line_dedup.within(words, e) for e in earlier):
+            if not words or not repeats(words, earlier):
                 left.append(line)
-            if len(words) >= 5:
-                earlier.append(words)
+            earlier.append(words)
         kept[i, t] = t if t is None else "\n".join(left)
     plain = lambda pairs: sorted((str(i), str(t)) for i, t in pairs)
     assert plain((r["doc_id"], r["text"]) for r in got) == plain((i, kept[i, t]) for i, t in rows)
+
+
+def test_line_dedup_tells_rows_without_an_id_apart(spark):
+    rows = [(None, "\n".join([f"unique line {4 * k + j} of its own kind w{j}x{k} y{k * j}" for j in range(4)] + [f"u{k}"])) for k in range(2000)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted(r["text"] for r in got) == sorted(t for _, t in rows)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waymark.llm.common import as_documents, runs, texts
 
@@ -152,15 +153,21 @@ def labelled(docs: DataFrame, labels: DataFrame, fit_toxic: int = 2500, fit_ordi
     return [(r["doc_id"], (r["text"] or "").encode(), r["toxic"]) for r in rows.collect()]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
-    """doc_id, held_out, score (0 to 1, higher: likelier toxic) and predicted (1 if score >= 0.5)."""
+def score_toxicity(docs: DataFrame, labels: DataFrame, keep: Sequence[str] = (), **bounds: int) -> DataFrame:
+    """doc_id, held_out, score (0 to 1, higher: likelier toxic) and predicted (1 if score >= 0.5); then, under their own
+    names, the columns of docs in `keep`, row by row."""
     model = fit(labelled(docs, labels, **bounds))
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    rows = docs.select(*own, *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)])
+    passed = [f for f in rows.schema.fields if f.name.startswith("kept_")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = model.start()
         for batch in runs(batches, 8 << 20):
             scores = pa.array([ready.score(t) for t in texts(batch.column("text"))], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores, *batch.columns[2:]], ["doc_id", "score", *batch.schema.names[2:]])
 
-    scored = as_documents(docs).mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType()), *passed]))
+    held = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    kept = [F.col(f.name).alias(c) for f, c in zip(passed, keep, strict=True)]
+    return scored.select(*([] if "doc_id" in keep else ["doc_id"]), held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *kept)
