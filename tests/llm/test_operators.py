@@ -305,6 +305,35 @@ def test_html(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def brute_pages(rows):
+    """Texts by comparing every run of equal pages with its neighbours, in one list."""
+    parsed = [(html_text.parse(h or ""), *html_text.place(u), i, html_text.text_hash(f"{u}\n{h}".encode()), u) for i, u, h in rows]
+    shared, order = {}, sorted(range(len(rows)), key=lambda k: parsed[k][1:5])
+    lines = [[t for t, _ in p[0]] for p in parsed]
+    for k, other in zip(order, order[1:], strict=False):
+        if parsed[k][1] == parsed[other][1] and lines[k] != lines[other]:
+            for x, y in ((k, other), (other, k)):
+                shared.setdefault((parsed[x][1], *lines[x]), set()).update(html_text.common_lines(lines[x], lines[y]))
+    return [(rows[k][0], html_text.main_text(lines[k], "".join(x for _, x in p[0]), shared.get((p[1], *lines[k]), set()))) for k, p in enumerate(parsed)]
+
+
+def test_html_is_the_same_over_any_partitions(spark):
+    dice, pages = random.Random(9), []
+    for k in range(60):
+        own = [f"own {k % 23} {j}" for j in range(dice.randrange(4))] + [f"menu {k // 8}", "foot", f"line {dice.randrange(6)}"]
+        dice.shuffle(own)
+        pages.append((k, f"http://h{k // 30}/p/{k % 40}", "".join(f"<p>{x}</p>" for x in own)))
+    pages += pages[:5] + [(100 + k, f"http://h0/p/{k}x", pages[7][2]) for k in range(9)] + [(200, "http://h1/long", "<p>foot</p>" + "<p>x y</p>" * 5000)]
+    plain = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 3, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(n)).collect()
+            assert sorted((r["page_id"], r["text"]) for r in got) == sorted(brute_pages(pages))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", plain)
+
+
 def test_packing(docs, rows, none):
     from tokenizers import Tokenizer
 

@@ -2,17 +2,19 @@
 
 `parse` turns a page into lines, one per block, each marked as boilerplate by structure (menus, page headers and
 footers, sidebars, notices, adverts, forms, comments, hidden parts), as part of an article element, or as neither.
-Pages sort by host, path and id; each page's lines are aligned by longest common subsequence with those of the nearest
-pages before and after it on its host that differ from it, and the lines they share are deleted.  Lines inside an
-article element are kept although shared: mirrored articles and quoted passages are main text.  Where a page has an
+Pages sort by host, path, id and html; each page's lines are aligned by longest common subsequence with those of the
+nearest pages before and after it on its host that differ from it, and the lines they share are deleted.  Lines inside
+an article element are kept although shared: mirrored articles and quoted passages are main text.  Where a page has an
 article element, lines outside it go.
 
-Each task reads its range of the URL order once and holds two pages; where ranges meet, the first and last pages of
-each (two per task) are compared on the driver.  Parsed text is shuffled once.
+Pages are parsed once, into a table.  Each task reads its range of the URL order and holds two pages; where ranges
+meet, the last page of one and the first of the next are joined and compared.  Pages of one host with the same lines
+are one page to the comparison: what any of them shares with a neighbour is deleted from all, so that the result does
+not depend on how pages are dealt, and a hot page costs nothing.
 
-Defined results: null or empty html and malformed markup give what text there is (possibly ''); a null URL is a host
-of its own; rows equal in page_id, url and html fare alike; every row gives one row; an empty table gives no rows;
-further columns are ignored.
+Defined results: null or empty html and malformed markup give what text there is (possibly ''); null URLs are one host;
+rows equal in page_id, url and html fare alike; every row gives one row; an empty table gives no rows; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import checkpointed, compress, partitions, runs, text_hash, unpacked
+from waymark.llm.common import compress, packed_runs, partitions, runs, stored, text_hash, unpacked
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"'>]+)""")
@@ -219,6 +221,17 @@ def main_text(lines: list[str], kinds: str, shared: set[int]) -> str:
     return "\n".join(t for i, (t, k) in enumerate(zip(lines, kinds, strict=True)) if k == wanted and (k == "a" or i not in shared))
 
 
+PARSED = "page_id long, url string, page_key long, host string, path string, lines_key long, hashes array<long>, kinds string, packed binary"
+SHARED = "host string, lines_key long, shared array<int>, part int, edge int, hashes array<long>"
+KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+
+
+def frame(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, KINDS[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], [name for name, _ in fields])
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_lines (blocks of the page) and n_shared (those that a nearest page has too)."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
@@ -229,96 +242,78 @@ def extract(pages: DataFrame) -> DataFrame:
             for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 lines = parse(page or "")
                 host, path = place(url)
-                key = text_hash(f"{url}\n{page}".encode())
                 hashes = [text_hash(t.encode()) for t, _ in lines]
                 body = "\n".join(t for t, _ in lines).encode()
-                rows.append((page_id, url, key, host, path, hashes, "".join(k for _, k in lines), compress(body)))
-            columns = list(zip(*rows, strict=True)) or [()] * 8
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["page_id", "url", "page_key", "host", "path", "hashes", "kinds", "packed"])
-
-    parsed = pages.mapInArrow(read, "page_id long, url string, page_key long, host string, path string, hashes array<long>, kinds string, packed binary")
-    ordered = parsed.select("page_id", "page_key", "host", "path", "hashes").repartitionByRange(partitions(pages.sparkSession), "host", "path", "page_id", "page_key")
-    compared = checkpointed(ordered.sortWithinPartitions("host", "path", "page_id", "page_key").mapInArrow(compare, "page_id long, page_key long, shared array<int>, part int, edge int, host string, hashes array<long>"))
-    more = across(compared.where("edge IS NOT NULL").orderBy("part", "edge").collect())  # two rows a task at most
-    added = pages.sparkSession.createDataFrame(more, "page_id long, page_key long, shared array<int>")
-    shared = compared.select("page_id", "page_key", "shared").where("shared IS NOT NULL").unionByName(added)
-    shared = shared.groupBy(F.col("page_id").alias("of_id"), F.col("page_key").alias("of_key")).agg(F.array_distinct(F.flatten(F.collect_set("shared"))).alias("shared"))
-    told = parsed.select("page_id", "url", "page_key", "kinds", "packed").join(shared, parsed["page_id"].eqNullSafe(shared["of_id"]) & (parsed["page_key"] == shared["of_key"]), "left")
+                rows.append((page_id, url, text_hash(f"{url}\n{page}".encode()), host, path, text_hash(body), hashes, "".join(k for _, k in lines), compress(body)))
+            yield frame(PARSED, rows)
+
+    parsed = stored(pages.mapInArrow(read, PARSED))
+    order = ["host", "path", "page_id", "page_key"]
+    ordered = parsed.select(*order, "lines_key", "hashes").repartitionByRange(partitions(pages.sparkSession), *order).sortWithinPartitions(*order)
+    compared = stored(ordered.mapInArrow(compare, SHARED))
+    edges = compared.where("edge IS NOT NULL")
+    parts = sorted(r["part"] for r in edges.where("edge = 0").select("part").collect())  # one number a task
+    following = pages.sparkSession.createDataFrame(list(zip(parts, parts[1:], strict=False)), "part int, next_part int")
+    of = lambda which, name: edges.where(f"edge = {which}").select(*[F.col(c).alias(f"{c}_{name}") for c in ("part", "host", "lines_key", "hashes")])
+    borders = of(1, "a").join(F.broadcast(following), F.col("part_a") == F.col("part")).join(of(0, "b"), F.col("next_part") == F.col("part_b"))
+    across = borders.where("host_a = host_b AND lines_key_a <> lines_key_b").mapInArrow(compare_borders, "host string, lines_key long, shared array<int>")
+    shared = compared.where("edge IS NULL").select("host", "lines_key", "shared").unionByName(across)
+    shared = stored(shared.groupBy("host", "lines_key").agg(F.array_distinct(F.flatten(F.collect_set("shared"))).alias("shared")))
+    told = parsed.select("page_id", "url", "host", "lines_key", "kinds", "packed").join(shared.hint("merge"), ["host", "lines_key"], "left")
     return told.select("page_id", "url", "kinds", "packed", "shared").mapInArrow(write, "page_id long, url string, text string, n_lines long, n_shared long")
 
 
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages in URL order to the places of the lines that the nearest different pages share.
+    """Pages in URL order to the places of the lines that the nearest different pages share, once per run of equal pages.
 
-    Pages of one host in a row with the same lines are one page here.  The edges of a task's range come as rows of
-    their own (edge 0: the first group of pages, 1: the last), once per page of the group.
+    The first and the last page of a task's range come as rows of their own (edge 0 and 1).
     """
     part = TaskContext.get().partitionId()
     rows: list[tuple] = []
-    before: dict | None = None  # the group before the open one
-    group: dict | None = None
-    first = True
-
-    def close(after: dict | None) -> None:
-        nonlocal before, first
-        found: set[int] = set()
-        for other in (before, after):
-            if other is not None and other["host"] == group["host"]:
-                found |= set(common_lines(group["hashes"], other["hashes"]))
-        for page in group["pages"]:
-            rows.append((*page, sorted(found), part, None, None, None))
-        if first:
-            edge(0)
-        if after is None:
-            edge(1)
-        first, before = False, group
+    page: dict | None = None
+
+    def both(a: dict, b: dict) -> None:
+        if a["host"] == b["host"]:
+            rows.extend((x["host"], x["lines_key"], common_lines(x["hashes"], y["hashes"]), None, None, None) for x, y in ((a, b), (b, a)))
 
     def edge(which: int) -> None:
-        rows.append((*group["pages"][0], None, part, which, group["host"], group["hashes"]))
+        rows.append((page["host"], page["lines_key"], None, part, which, page["hashes"]))
 
-    def frame() -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int64())]
-        out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["page_id", "page_key", "shared", "part", "edge", "host", "hashes"])
+    for batch in batches:
+        for host, key, hashes in zip(*(batch.column(n).to_pylist() for n in ("host", "lines_key", "hashes")), strict=True):
+            if page is not None and page["host"] == host and page["lines_key"] == key:
+                continue
+            new = {"host": host, "lines_key": key, "hashes": hashes}
+            if page is None:
+                page = new
+                edge(0)
+            else:
+                both(page, new)
+                page = new
+        yield frame(SHARED, rows)
         rows.clear()
-        return out
+    if page is not None:
+        edge(1)
+    yield frame(SHARED, rows)
+
 
+def compare_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of pages on either side of a border to the places of the lines that they share."""
     for batch in batches:
-        for page_id, key, host, hashes in zip(*(batch.column(n).to_pylist() for n in ("page_id", "page_key", "host", "hashes")), strict=True):
-            if group is not None and group["host"] == host and group["hashes"] == hashes:
-                group["pages"].append((page_id, key))
-                continue
-            new = {"host": host, "hashes": hashes, "pages": [(page_id, key)]}
-            if group is not None:
-                close(new)
-            group = new
-        yield frame()
-    if group is not None:
-        close(None)
-    yield frame()
-
-
-def across(edges: list) -> list[tuple]:
-    """What the last pages of a range share with the first of the next one."""
-    out, parts = [], sorted({r["part"] for r in edges})
-    at = {(r["part"], r["edge"]): r for r in edges}
-    for here, there in zip(parts, parts[1:], strict=False):
-        a, b = at[here, 1], at[there, 0]
-        if a["host"] == b["host"] and a["hashes"] != b["hashes"]:
-            out.append((a["page_id"], a["page_key"], common_lines(list(a["hashes"]), list(b["hashes"]))))
-            out.append((b["page_id"], b["page_key"], common_lines(list(b["hashes"]), list(a["hashes"]))))
-    return out
+        rows = []
+        for r in batch.to_pylist():
+            rows.append((r["host_a"], r["lines_key_a"], common_lines(r["hashes_a"], r["hashes_b"])))
+            rows.append((r["host_a"], r["lines_key_b"], common_lines(r["hashes_b"], r["hashes_a"])))
+        yield frame("host string, lines_key long, shared array<int>", rows)
 
 
 def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for big in batches:
-        for batch in (big.slice(at, 500) for at in range(0, big.num_rows, 500)):
-            texts, shared = [], [x or [] for x in batch.column("shared").to_pylist()]
-            kinds = batch.column("kinds").to_pylist()
-            for k, body, some in zip(kinds, unpacked(batch.column("packed")), shared, strict=True):
-                texts.append(main_text(body.decode().split("\n") if k else [], k, set(some)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, kinds), pa.int64()), pa.array(map(len, shared), pa.int64())],
-                ["page_id", "url", "text", "n_lines", "n_shared"],
-            )
+    for batch in packed_runs(batches):
+        texts, shared = [], [x or [] for x in batch.column("shared").to_pylist()]
+        kinds = batch.column("kinds").to_pylist()
+        for k, body, some in zip(kinds, unpacked(batch.column("packed")), shared, strict=True):
+            texts.append(main_text(body.decode().split("\n") if k else [], k, set(some)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, kinds), pa.int64()), pa.array(map(len, shared), pa.int64())],
+            ["page_id", "url", "text", "n_lines", "n_shared"],
+        )
