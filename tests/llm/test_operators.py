@@ -267,6 +267,27 @@ def test_simhash_components_equal_brute_force(spark, docs, rows, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_similar_documents_have_most_shingles_in_common(spark, docs, none):
+    dice, rows, near = random.Random(11), [(i, prose(5000 + i, 220)) for i in range(120)], set()
+    for k in range(60):
+        words = rows[k][1].split()
+        for at in range(9, 220, 220 // (1 + k % 3)):  # a word exchanged costs five shingles
+            words[at] = f"other{k}x{at}"
+        rows.append((1000 + k, " ".join(words)))
+        near.add((k, 1000 + k))
+    for k in range(60, 100):  # 0.5 of the shingles or less
+        words = rows[k][1].split()
+        for at in range(3, 220, 12):
+            words[at] = f"other{k}x{at}"
+        rows.append((2000 + k, " ".join(words)))
+    dice.shuffle(rows)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame([*rows, (7000, rows[0][1].upper() + " "), (None, "x y z")], DOC)).collect()}
+    hit = sum(got[b] == a for a, b in near)
+    assert hit >= 0.9 * len(near) and got[7000] == got[rows[0][0]] and got[None] is None
+    assert all(got[i] == i for i, _ in rows if i < 1000 or i >= 2000)
+    assert simhash.similar_documents(docs).count() == docs.count() and simhash.similar_documents(none).count() == 0
+
+
 def test_quality_counts_equal_brute_force(docs, rows, none):
     got = quality_rules.score_quality(docs).collect()
 

@@ -9,6 +9,13 @@ comes to the other's home.  There are 2 ** 27 anchors a half, so that anchors st
 fingerprints; equal fingerprints are one from the start.  Anchors never emit all their pairs: small ones emit
 their links, large ones a spanning forest of them.
 
+`near_duplicates` links fingerprints of 64 bits that differ in 3 at most.  `similar_documents` is for a similarity of
+texts: 3 of 64 bits are far stricter than a Jaccard similarity of 0.8, at which 39 of 256 differ on average, and no code
+with that threshold has anchors enough.  It takes 256 bits a document, and `CODES` codes instead of two: each is all
+words over 27 of the bits, chosen by a fixed seed, so that covering radius and threshold are 0 and a document has one
+anchor a code.  Documents of one anchor whose first 64 bits are alike are compared by all 256, of which as many may
+differ as do on average at that similarity, and one standard error more.
+
 Defined results: a null or empty text has fingerprint zero and links like any other; a text of fewer words than a
 shingle is one shingle; rows with a null doc_id get a fingerprint, and the component of the rows that share it; every
 row of the input gives one row; an empty table gives no rows; further columns are ignored.
@@ -24,30 +31,49 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import as_documents, checkpointed, partitions, runs, texts
+from waymark.llm.common import as_documents, checkpointed, partitions, runs, stored, texts
 from waymark.llm.components import components
 
 SEED, HALF, THRESHOLD = 42, 32, 3
+CODES, WORD, LOOSE = 128, 27, 18  # codes over 256 bits, the bits of each, and how many of the first 64 a pair may differ in
 SMALL = 32  # rows of an anchor up to which it emits its links as they are
 PAIRS = 1 << 22  # comparisons at a time
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
+def shingles(text: bytes, width: int) -> list[bytes]:
     words = text.lower().split()
     if not words:
-        return 0
-    if len(words) < width:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return []
     joined = b" ".join(words)
+    if len(words) < width:
+        return [joined]
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.r_[0, ends[:-1]]
-    n, digest = len(words) - width + 1, xxhash.xxh64_intdigest
-    hashes = np.fromiter([digest(joined[s:e], SEED) for s, e in zip(starts[:n].tolist(), (ends[width - 1 :] - 1).tolist(), strict=True)], np.uint64, n)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
-        bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    n = len(words) - width + 1
+    return [joined[s:e] for s, e in zip(starts[:n].tolist(), (ends[width - 1 :] - 1).tolist(), strict=True)]
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """Words of 64 bits, each bit set if it is in over half of the rows."""
+    ones, wide = np.zeros(64 * hashes.shape[1], np.int64), hashes.shape[1]
+    for at in range(0, len(hashes), 1 << 16):
+        bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8 * wide), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
+
+
+def fingerprint(text: bytes, width: int = 3) -> int:
+    some, digest = shingles(text, width), xxhash.xxh64_intdigest
+    return int(majority(np.fromiter([digest(x, SEED) for x in some], np.uint64, len(some)).reshape(-1, 1))[0])
+
+
+def wide_fingerprint(text: bytes, width: int, prints: int) -> np.ndarray:
+    """`prints` fingerprints, two from each 128-bit hash."""
+    some, digest = shingles(text, width), xxhash.xxh3_128_digest
+    if not some:
+        return np.zeros(prints, np.uint64)
+    columns = [np.frombuffer(b"".join([digest(x, seed) for x in some]), np.uint64).reshape(-1, 2) for seed in range((prints + 1) // 2)]
+    return majority(np.ascontiguousarray(np.concatenate(columns, axis=1)[:, :prints]))
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -100,7 +126,7 @@ def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def forest(fp: np.ndarray, at_home: np.ndarray) -> list[tuple[int, int]]:
+def forest(fp: np.ndarray, at_home: np.ndarray, most: int = THRESHOLD) -> list[tuple[int, int]]:
     """Links between rows of one anchor that span what its links connect; either end of a link is at home."""
     left, out = np.arange(len(fp)), []
     while len(left):
@@ -108,15 +134,15 @@ def forest(fp: np.ndarray, at_home: np.ndarray) -> list[tuple[int, int]]:
         while len(frontier) and len(left):
             step = max(1, PAIRS // len(left))
             some, frontier = frontier[:step], frontier[step:]
-            near = (np.bitwise_count(fp[some][:, None] ^ fp[left][None, :]) <= THRESHOLD) & (at_home[some][:, None] | at_home[left][None, :])
+            near = (np.bitwise_count(fp[some][:, None] ^ fp[left][None, :]) <= most) & (at_home[some][:, None] | at_home[left][None, :])
             hit = near.any(axis=0)
             out += zip(some[near[:, hit].argmax(axis=0)].tolist(), left[hit].tolist(), strict=True)
             frontier, left = np.r_[frontier, left[hit]], left[~hit]
     return out
 
 
-def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor to links (a, b) between reps."""
+def link(batches: Iterator[pa.RecordBatch], most: int = THRESHOLD) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by anchor to links (a, b) between reps whose fingerprints differ in `most` bits or fewer."""
 
     def links(anchor: np.ndarray, fp: np.ndarray, rep: np.ndarray, at_home: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
@@ -125,10 +151,10 @@ def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = np.repeat(sizes <= SMALL, sizes)
         for shift in range(1, min(SMALL, int(sizes.max(initial=1)))):
             i = np.flatnonzero((anchor[shift:] == anchor[:-shift]) & small[shift:] & (at_home[shift:] | at_home[:-shift]))
-            i = i[np.bitwise_count(fp[i] ^ fp[i + shift]) <= THRESHOLD]
+            i = i[np.bitwise_count(fp[i] ^ fp[i + shift]) <= most]
             found.append(np.stack([rep[i], rep[i + shift]]))
         for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-            if pairs := forest(fp[s : s + n], at_home[s : s + n]):
+            if pairs := forest(fp[s : s + n], at_home[s : s + n], most):
                 found.append(rep[s + np.array(pairs).T])
         a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -156,3 +182,51 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     found = components(met.mapInArrow(link, "a long, b long"))
     of_fp = reps.join(found, reps["rep"] == found["node"], "left").select(F.col("fp").alias("own"), F.coalesce("root", "rep").alias("component_id"))
     return marked.join(of_fp, marked["fp"] == of_fp["own"], "left").select("doc_id", "fp", "component_id")
+
+
+def bits_apart(similarity: float, bits: int) -> int:
+    """How many of so many bits may differ between texts of this Jaccard similarity: their average and a standard error."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * share + np.sqrt(bits * share * (1 - share)))
+
+
+def words_of(prints: np.ndarray, code: int) -> np.ndarray:
+    """The anchor of each fingerprint (rows of four words) in a code."""
+    chosen = np.random.default_rng(code).choice(256, WORD, replace=False)
+    out = np.full(len(prints), code << WORD, np.int64)
+    for i, bit in enumerate(chosen):
+        out |= ((prints[:, bit // 64] >> np.uint64(bit % 64)) & np.uint64(1)).astype(np.int64) << np.int64(i)
+    return out
+
+
+def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, and component_id: the smallest doc_id reachable over links between documents whose sets of shingles have
+    this Jaccard similarity or more, as fingerprints tell; its own included."""
+    names = [f"fp{k}" for k in range(4)]
+    allowed = bits_apart(similarity, 256)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, 8 << 20):
+            values = np.array([wide_fingerprint(t, width, 4) for t in texts(batch.column("text"))], np.uint64).reshape(-1, 4).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(values[:, k])) for k in range(4))], ["doc_id", *names])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, prints = batch.column("rep"), np.stack([batch.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
+            home = pa.array(np.ones(len(prints), bool))
+            for code in range(CODES):
+                yield pa.RecordBatch.from_arrays([pa.array(words_of(prints, code)), batch.column("fp0"), rep, home], ["anchor", "fp", "rep", "at_home"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = sum(np.bitwise_count((batch.column(f"a_{n}").to_numpy() ^ batch.column(f"b_{n}").to_numpy()).view(np.uint64)).astype(np.int64) for n in names)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= allowed))
+
+    marked = stored(as_documents(docs).mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)])))
+    reps = stored(marked.groupBy(*names).agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
+    met = reps.mapInArrow(spread, "anchor long, fp long, rep long, at_home boolean").repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor", "rep")
+    candidates = met.mapInArrow(lambda batches: link(batches, LOOSE), "a long, b long").distinct()
+    of = lambda side: reps.select(F.col("rep").alias(side), *[F.col(n).alias(f"{side}_{n}") for n in names])
+    found = components(candidates.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").mapInArrow(verify, "a long, b long"))
+    of_print = reps.join(found, reps["rep"] == found["node"], "left").select(*names, F.coalesce("root", "rep").alias("component_id"))
+    return marked.join(of_print.hint("merge"), names, "left").select("doc_id", "component_id")
