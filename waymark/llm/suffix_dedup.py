@@ -48,7 +48,7 @@ BASE = 0x9E3779B97F4A7C15
 TOP = np.uint64(21)  # bits of a place within a segment; SEGMENT and its overlap fit
 ROW = np.dtype([("h", "<u4"), ("c1", "<u4"), ("c2", "<u4"), ("left", "u1"), ("right", "u1"), ("pos", "<u4"), ("doc", "<i8"), ("row", "<i8")])
 MARK = 255  # in place of `left`: the anchor is hot
-BATCH = 50_000  # contexts of an index
+BATCH = 16_000  # contexts of an index
 FOUND = "bucket int, blob binary, row long, low long, high long, w1 long, w2 long, doc long"
 COMPARED = "row long, low long, high long, w1 long, w2 long, doc long, left int, right int, anchor long"
 
@@ -178,7 +178,7 @@ def index_repeats(contexts: list[bytes], docs: np.ndarray, width: int) -> tuple[
     return which[hit], start[hit]
 
 
-def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24, hot: int = 64) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24, hot: int = 1000) -> DataFrame:
     """doc_id, text (binary: what is left), n_bytes, n_removed, spans (array of struct(low, high), the removed runs)."""
     if not 8 <= seed < width <= 250:
         raise ValueError("takes a seed of 8 bytes or more that is shorter than the width, and a width of 250 at most")
@@ -187,7 +187,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, seed: int = 24, hot: int =
     packed = stored(squeezed(whole).drop("text_key"))  # rows keep the numbers that they have there
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in packed_runs(batches):
+        for batch in packed_runs(batches, 6 << 20):
             found: list[tuple[np.ndarray, np.ndarray]] = []
             parts: list[tuple[int, bytes]] = []
             owners: list[tuple[int, int]] = []
