@@ -26,18 +26,11 @@ def ranked(key: np.ndarray) -> np.ndarray:
     """The rank of each value among the distinct ones."""
     order = np.argsort(key)
     out = np.empty(len(key), np.uint64)
-    out[order] = np.cumsum(np.r_[0, key[order][1:] != key[order][:-1]]) if len(key) else 0
+    ordered = key[order]
+    out[order] = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]]).view(np.uint64)
     return out
 
 
-def ranks_to(first: np.ndarray, covers: int, width: int) -> np.ndarray:
-    """Ranks of the cyclic strings of `width` symbols, from ranks of those of `covers`, by doubling."""
-    while covers < width:
-        step = min(covers, width - covers)
-        first, covers = ranked(first << np.uint64(32) | np.roll(first, -step)), covers + step
-    return first
-
-
 @dataclass
 class RunLengthIndex:
     width: int
@@ -65,13 +58,19 @@ class RunLengthIndex:
         part = ranked(packed)
         while 2 * lanes <= width - 1:
             part, lanes = ranked(part << np.uint64(32) | np.roll(part, -lanes)), 2 * lanes
-        shorter, whole = (ranks_to(part, lanes, w) for w in (width - 1, width))
+        rest, shorter = np.roll(part, lanes - width), np.roll(part, lanes - width + 1)  # of the last symbols of `width`, and of one less
         previous = np.roll(text, 1).astype(np.uint64)
-        order = np.lexsort((label, whole << np.uint64(9) | previous))
-        whole, shorter, previous, label = whole[order], shorter[order], previous[order].astype(np.int64), label[order]
-        heads = changes(whole << np.uint64(9) | previous.astype(np.uint64))  # runs end where intervals do, so that samples are theirs
+        bits = np.uint64(int(part.max()).bit_length())
+        if 2 * int(bits) + 9 > 64:
+            raise ValueError("takes fewer symbols at a time")
+        key = (part << bits | rest) << np.uint64(9) | previous
+        order = np.argsort(key)
+        key, label = key[order], label[order]
+        previous, whole, shorter = (key & np.uint64(511)).astype(np.int64), key >> np.uint64(9), part[order] << np.uint64(32) | shorter[order]
+        heads = changes(key)  # runs end where intervals do, so that samples are theirs
+        sample = np.minimum.reduceat(label, heads)
         starts = changes(whole)
-        least = np.minimum.reduceat(label[heads], np.searchsorted(heads, starts))
+        least = np.minimum.reduceat(sample, np.searchsorted(heads, starts))
         flat = changes(shorter)
         spans = np.diff(np.r_[flat, n])
         symbol, sizes = previous[heads], np.diff(np.r_[heads, n])
