@@ -64,7 +64,9 @@ def test_fuzzy():
     assert fuzzy.token_sort_ratio("roma via", "via roma") == 100.0
     assert fuzzy.token_set_ratio("via roma", "via roma interno 5") == 100.0
     assert fuzzy.weighted_ratio("", "x") == 0.0
-    assert fuzzy.street_score("G VERDI", "GIUSEPPE VERDI") > 85 > fuzzy.street_score("VIA ROMA", "VIA TORINO")
+    assert fuzzy.street_score("VIA G VERDI", "VIA GIUSEPPE VERDI") > 80 > fuzzy.street_score("VIA ROMA", "VIA TORINO")
+    assert fuzzy.street_score("VIA MARIO ROSARIO GRECO", "VIA MR GRECO") == 98 and fuzzy.street_score("VIA MARIO ROSARIO GRECO", "VIA ROSARIO") <= 65
+    assert fuzzy.street_score("VIA GARIBALDI", "CORSO GARIBALDI") == 100 and fuzzy.street_score("VIA GIUSEPPE GARIBALDI", "VIA GARIBALDI") >= 92
 
 
 def test_hashes():

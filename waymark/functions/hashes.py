@@ -37,8 +37,13 @@ def row_digest(*columns: Column) -> Column:
 
 
 def table_digest(df: DataFrame, columns: Iterable[str]) -> Column:
-    """An aggregate over df that doesn't depend on the order of its rows: use in df.agg()."""
-    return F.sha2(F.array_join(F.array_sort(F.collect_list(row_digest(*[F.col(c) for c in columns]))), ""), 256)
+    """An aggregate over df that doesn't depend on the order of its rows: use in df.agg().
+
+    The number of rows and the sums of four parts of their digests, 240 bits in all, which tasks add up on their own.
+    """
+    row = row_digest(*[F.col(c) for c in columns])
+    part = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(20,0)").cast("decimal(38,0)"))
+    return F.sha2(F.concat_ws("|", F.count("*").cast("string"), *[part(at).cast("string") for at in (1, 16, 31, 46)]).cast("binary"), 256)
 
 
 def site_key(values: Column) -> Column:

@@ -2,20 +2,42 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented Latin letters and the letters that they fold to.
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿ"
-PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy"
+
+
+def _unaccented() -> tuple[str, str, dict[str, str]]:
+    """Letters that compatibility decomposition turns into plain ones, and what into; marks; letters that become several."""
+    single, several, marks = {}, {}, []
+    for c in map(chr, range(0x80, 0x30000)):
+        if unicodedata.combining(c):
+            marks.append(c)
+        bare = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if bare != c and bare.isascii() and bare.isalnum():
+            (single if len(bare) == 1 else several)[c] = bare
+    return "".join(single) + "".join(marks), "".join(single.values()), several
+
+
+#: Built from Python's Unicode tables: `translate` drops what of the first has no counterpart in the second, the marks.
+ACCENTED, PLAIN, SEVERAL = _unaccented()
+
+
+def unaccented(text: Column) -> Column:
+    """Text decomposed, without its marks."""
+    seldom = text.rlike("[" + "".join(SEVERAL) + "]")
+    spelt = text
+    for c, plain in SEVERAL.items():
+        spelt = F.replace(spelt, F.lit(c), F.lit(plain))
+    return F.translate(F.when(seldom, spelt).otherwise(text), ACCENTED, PLAIN)
 
 
 def fold(text: Column) -> Column:
     """Upper case without accents; everything but letters and digits is one space."""
-    bare = F.upper(F.translate(text, ACCENTED, PLAIN))
-    return F.trim(F.regexp_replace(bare, "[^A-Z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.upper(unaccented(text)), "[^A-Z0-9]+", " "))
 
 
 def name_key(text: Column) -> Column:

@@ -6,8 +6,9 @@ import heapq
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.operators.relational import ContractError, require_columns, require_none
@@ -17,10 +18,13 @@ MOST_ARCS = 3_000_000
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df in the shared checkpoint folder; a local one only where the session names none."""
+    """df in the shared checkpoint folder; one of its own only in local mode, where the session names none."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
 
 
@@ -76,19 +80,20 @@ def costs_to_targets(arcs: DataFrame, targets: DataFrame, most_arcs: int = MOST_
     codes, names = pd.factorize(pd.concat([table["src"], table["dst"]], ignore_index=True))
     src, dst = codes[: len(table)], codes[len(table) :]
     order = dst.argsort(kind="stable")
-    starts = dst[order].searchsorted(range(len(names) + 1))
+    starts = dst[order].searchsorted(np.arange(len(names) + 1))
     graph = (starts, src[order], table["time_s"].to_numpy()[order], table["length_m"].to_numpy()[order], names)
     shared = arcs.sparkSession.sparkContext.broadcast(graph)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         starts, sources, times, lengths, names = shared.value
+        starts, sources, times, lengths = (x.tolist() for x in (starts, sources, times, lengths))  # lists read faster one by one
         number = {n: i for i, n in enumerate(names)}
         for batch in batches:
             for target in batch["target"]:
                 best = settle(number[target], starts, sources, times, lengths) if target in number else {}
                 yield pd.DataFrame({"target": target, "node": [names[i] for i in best], "time_s": [t for t, _ in best.values()], "dist_m": [d for _, d in best.values()]}) if best else pd.DataFrame({"target": [target], "node": [target], "time_s": [0.0], "dist_m": [0.0]})
 
-    spread = wanted.repartition(arcs.sparkSession.sparkContext.defaultParallelism, "target")
+    spread = wanted.repartition(2 * arcs.sparkSession.sparkContext.defaultParallelism)  # without a key, so that no exchange is left out or coalesced
     return spread.mapInPandas(run, "target string, node string, time_s double, dist_m double")
 
 
@@ -103,7 +108,7 @@ def settle(target: int, starts, sources, times, lengths) -> dict[int, tuple[floa
         best[node] = (time, dist)
         for k in range(starts[node], starts[node + 1]):
             if sources[k] not in best:
-                heapq.heappush(queue, (time + times[k], dist + lengths[k], int(sources[k])))
+                heapq.heappush(queue, (time + times[k], dist + lengths[k], sources[k]))
     return best
 
 
@@ -139,10 +144,21 @@ def weak_components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200)
     raise RuntimeError("components have not settled")
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df with its rows' numbers in a total order, from 1: sorted ranges number their rows, on top of the ranges before."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = saved(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}))
+    counts = sorted((r["part"], r["count"]) for r in placed.groupBy("part").count().collect())  # one row a range
+    offsets = [(p, sum(c for _, c in counts[:i])) for i, (p, _) in enumerate(counts)]
+    before = df.sparkSession.createDataFrame(offsets, "part int, offset long")
+    place = F.col("place").bitwiseAND((1 << 33) - 1)
+    return placed.join(F.broadcast(before), "part").withColumn(name, place + F.col("offset") + 1).drop("part", "place", "offset")
+
+
 def ranked_components(roots: DataFrame) -> DataFrame:
     """node_id, component_rank (by size, then smallest id), component_size and is_largest."""
     sizes = roots.groupBy("root").agg(F.count("*").alias("component_size"))
-    ranked = sizes.withColumn("component_rank", F.row_number().over(Window.orderBy(F.desc("component_size"), "root")))
+    ranked = numbered(sizes, [F.desc("component_size"), F.col("root")], "component_rank")
     return roots.join(ranked, "root").select("node_id", F.col("component_rank").cast("bigint").alias("component_rank"), "component_size", (F.col("component_rank") == 1).alias("is_largest"))
 
 

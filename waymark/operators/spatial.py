@@ -24,25 +24,30 @@ def in_range(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     return placed.join(spread, ["cx", "cy"]).drop("cx", "cy").withColumn("distance_m", distance).where(F.col("distance_m") <= metres)
 
 
-def nearest(left: DataFrame, right: DataFrame, start_m: float, most_rings: int = 24) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, start_m: float) -> DataFrame:
     """The nearest right point of every left one, ties to the smallest other_id: id, other_id and distance_m.
 
-    Points without a neighbour within start_m look again in twice the range, and so on; null coordinates find none.
+    Points without a neighbour within start_m look again in twice the range, and so on, until the range is that of all
+    points, so that each finds one; null coordinates find none.
     """
     left = left.where("x IS NOT NULL AND y IS NOT NULL").select("id", "x", "y")
     right = right.where("ox IS NOT NULL AND oy IS NOT NULL").select("other_id", "ox", "oy")
     found, metres = None, start_m
     if right.isEmpty():
         return left.select("id", F.lit(None).cast("string").alias("other_id"), F.lit(None).cast("double").alias("distance_m")).limit(0)
-    for _ in range(most_rings):
+    ends = lambda x, y: [f(F.col(c)).alias(f"{n}{c}") for c in (x, y) for f, n in ((F.min, "low_"), (F.max, "high_"))]
+    a, b = left.agg(*ends("x", "y")).first(), right.agg(*ends("ox", "oy")).first()
+    if a["low_x"] is None:
+        return left.select("id", F.lit(None).cast("string").alias("other_id"), F.lit(None).cast("double").alias("distance_m")).limit(0)
+    whole = sum(max(a[f"high_{c}"], b[f"high_o{c}"]) - min(a[f"low_{c}"], b[f"low_o{c}"]) for c in ("x", "y"))  # no two points are farther apart
+    while True:
         best = keep_first(in_range(left, right, metres), ["id"], [F.col("distance_m"), F.col("other_id")]).select("id", "other_id", "distance_m")
         best = saved(best)
         found = best if found is None else found.unionByName(best)
         left = saved(left.join(best, "id", "left_anti"))
-        if left.isEmpty():
+        if metres > whole or left.isEmpty():
             return found
         metres *= 2
-    return found
 
 
 def polygons_of(points: DataFrame, areas: DataFrame, size: float, boundary: bool) -> DataFrame:

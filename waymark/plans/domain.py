@@ -15,7 +15,7 @@ ARCS_SQL = EDGES_SQL + """, arcs AS (SELECT src, dst, time_s, min(length_m) AS l
   WHERE time_s = (SELECT min(time_s) FROM edges f WHERE f.src = e.src AND f.dst = e.dst) GROUP BY src, dst, time_s)"""
 ORIGINS_SQL = """origins AS (SELECT CAST(c_custkey AS VARCHAR) AS origin_id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) END AS node_id,
   CAST(c_custkey % 7 AS DOUBLE) AS snap_distance_m, greatest(c_acctbal, 0) AS population_total, c_nationkey AS area FROM customer)"""
-SERVICES_SQL = """services AS (SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS service_id, CASE s_nationkey % 4 WHEN 0 THEN 'primary_school' WHEN 1 THEN 'pharmacy' WHEN 2 THEN 'hospital_establishment' ELSE 'nursery_school' END AS service_type,
+SERVICES_SQL = """services AS (SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS service_id, CASE s_nationkey % 4 WHEN 0 THEN 'primary_school' WHEN 1 THEN 'pharmacy' WHEN 2 THEN 'hospital_establishment' ELSE 'preschool' END AS service_type,
   CAST(s_suppkey AS VARCHAR) AS raw_node, CAST(s_suppkey % 5 AS DOUBLE) AS raw_snap, CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE s_suppkey % 7 <> 3 END AS validated, s_suppkey % 13 <> 5 AS active,
   s_suppkey % 17 <> 2 AS boundary_verified, s_suppkey % 19 <> 4 AS inside_footprint, s_suppkey % 23 <> 6 AS snapped FROM supplier)"""
 GATE_SQL = SERVICES_SQL + """, gated AS (SELECT *, CASE WHEN validated IS NULL THEN 'missing_validation_evidence' WHEN NOT validated THEN 'location_not_validated'
@@ -54,7 +54,7 @@ def services(spark: SparkSession, d: str) -> DataFrame:
     key, kind = F.col("s_suppkey"), F.col("s_nationkey") % 4
     return table(spark, d, "supplier").select(
         F.concat(F.lit("S"), F.lpad(key.cast("string"), 6, "0")).alias("service_id"),
-        F.when(kind == 0, "primary_school").when(kind == 1, "pharmacy").when(kind == 2, "hospital_establishment").otherwise("nursery_school").alias("service_type"),
+        F.when(kind == 0, "primary_school").when(kind == 1, "pharmacy").when(kind == 2, "hospital_establishment").otherwise("preschool").alias("service_type"),
         key.cast("string").alias("node_id"),
         (key % 5).cast("double").alias("snap_distance_m"),
         F.when(key % 10 != 9, key % 7 != 3).alias("validated"),

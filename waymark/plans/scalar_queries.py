@@ -10,7 +10,7 @@ from waymark.operators.gates import first_reason
 from waymark.plans import supply
 from waymark.plans.registry import query, table
 
-FOLD = "trim(regexp_replace(upper(translate(replace(%s, 'ß', 'SS'), '{}', '{}')), '[^A-Z0-9]+', ' ', 'g'))".format(text.ACCENTED, text.PLAIN)
+FOLD = "trim(regexp_replace(upper(strip_accents(replace(%s, 'ß', 'SS'))), '[^A-Z0-9]+', ' ', 'g'))"
 WORDS = {"THE": "A", "AND": "ET"}
 PARTS = {"TH": "Z", "ER": "X"}
 
@@ -213,11 +213,25 @@ def h5(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").groupBy("p_brand").agg(hashes.site_key(F.collect_set("p_type")).alias("site"))
 
 
-@query("f9_school_type", "SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'nursery_school' WHEN 1 THEN 'primary_school' WHEN 2 THEN 'lower_secondary_school' WHEN 3 THEN 'upper_secondary_school' WHEN 4 THEN 'unclassified_grade_description' ELSE 'upper_secondary_school' END AS service_type FROM part")
+#: Labels of the registry with the level that each stands for; null where it tells none.
+GRADES = (
+    ("SCUOLA DELL'INFANZIA", "preschool"), ("Scuola Primaria", "primary_school"), ("SCUOLA SECONDARIA DI I GRADO", "lower_secondary_school"), ("SCUOLA PRIMO GRADO", "lower_secondary_school"),
+    ("SCUOLA SEC. DI 1° GRADO", "lower_secondary_school"), ("SCUOLA SECONDARIA DI II GRADO", "upper_secondary_school"), ("SCUOLA SECONDO GRADO", "upper_secondary_school"),
+    ("LICEO SCIENTIFICO", "upper_secondary_school"), ("ISTITUTO TECNICO INDUSTRIALE", "upper_secondary_school"), ("IST TEC COMMERCIALE E PER GEOMETRI", "upper_secondary_school"),
+    ("ISTITUTO D'ARTE", "upper_secondary_school"), ("ISTITUTO MAGISTRALE", "upper_secondary_school"), ("IST PROF INDUSTRIA E ARTIGIANATO", "upper_secondary_school"),
+    ("IST PROF PER I SERVIZI COMMERCIALI E TURISTICI", "upper_secondary_school"), ("IST PROF PER I SERVIZI ALBERGHIERI E RISTORAZIONE", "upper_secondary_school"),
+    ("MEDIA SUPERIORE", "upper_secondary_school"), ("SCUOLA MEDIA STATALE", "lower_secondary_school"), ("ISTITUTO COMPRENSIVO", None), ("ISTITUTO SUPERIORE", None), (" - ", None),
+)
+GRADES_SQL = ", ".join("({}, '{}', {})".format(i, label.replace("'", "''"), f"'{kind}'" if kind else "NULL") for i, (label, kind) in enumerate(GRADES))
+
+
+@query(
+    "f9_school_type",
+    f"SELECT p_partkey, kind AS service_type, CASE WHEN label = ' - ' THEN 'missing_grade_description' WHEN kind IS NULL THEN 'unclassified_grade_description' ELSE 'mim_grade_description' END AS method FROM part JOIN (VALUES {GRADES_SQL}) AS g(i, label, kind) ON p_partkey % {len(GRADES)} = i",
+)
 def f9(spark: SparkSession, d: str) -> DataFrame:
-    labels = F.array(*[F.lit(x) for x in ("Scuola dell'infanzia", "SCUOLA PRIMARIA", "SCUOLA SEC. DI 1° GRADO", "LICEO SCIENTIFICO", "ISTITUTO COMPRENSIVO", "Istituto Tecnico")])
-    grade = F.element_at(labels, (F.col("p_partkey") % 6 + 1).cast("int"))
-    return table(spark, d, "part").select("p_partkey", supply.school_type(text.fold(grade)).alias("service_type"))
+    grade = text.fold(F.element_at(F.array(*[F.lit(x) for x, _ in GRADES]), (F.col("p_partkey") % len(GRADES) + 1).cast("int")))
+    return table(spark, d, "part").select("p_partkey", supply.school_type(grade).alias("service_type"), supply.school_type_method(grade).alias("method"))
 
 
 @query("f13_strict_boolean", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS flag FROM orders")

@@ -9,9 +9,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
 SEPARATORS = (";", ",", "\t", "|")
+SPARK_NAMES = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}
 
 
 class SourceError(ValueError):
@@ -42,18 +44,23 @@ def dialect(head: bytes, least_columns: int = 2) -> tuple[str, str]:
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV as text columns; its dialect comes from the first lines, which Spark's own reader fetches."""
-    head = "\n".join(r["value"] for r in spark.read.text(path).limit(20).collect())
-    _, separator = dialect(head.encode())
-    return spark.read.options(header=True, sep=separator, encoding="UTF-8", mode="FAILFAST").csv(path)
+    encoding, separator = dialect(first_lines(spark, path))
+    return spark.read.options(header=True, sep=separator, encoding=SPARK_NAMES.get(encoding, encoding), mode="FAILFAST").csv(path)
+
+
+def first_lines(spark: SparkSession, path: str, lines: int = 20) -> bytes:
+    """The first lines of a file as they are: read as Latin-1, which any byte survives."""
+    return "\n".join(r["value"] for r in spark.read.options(sep="\0", quote="", encoding="ISO-8859-1", header=False, inferSchema=False).schema("value string").csv(path).limit(lines).collect() if r["value"]).encode("latin-1")
 
 
 def read_table(spark: SparkSession, path: str, text_columns: tuple[str, ...] = ()) -> DataFrame:
-    """By suffix; codes stay text."""
+    """By suffix; columns of a CSV get the types that fit, but `text_columns` (codes with leading zeros) stay text."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
     if path.endswith(".csv"):
-        df = spark.read.options(header=True, mode="FAILFAST").csv(path)
-        return df.select(*[F.col(c) if c in text_columns else F.col(c).alias(c) for c in df.columns])
+        typed = spark.read.options(header=True, inferSchema=True, mode="FAILFAST").csv(path)
+        schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in text_columns else f.dataType) for f in typed.schema])
+        return spark.read.options(header=True, mode="FAILFAST").schema(schema).csv(path)
     raise SourceError(f"no reader for {path}")
 
 
