@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from waymark.plans import network_queries, relational_queries, scalar_queries, supply_queries  # noqa: F401
+from waymark.plans import network_queries, relational_queries, resolution_queries, scalar_queries, supply_queries  # noqa: F401
 from waymark.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.geo import cell, covered, planar_m, within
+from waymark.functions.geo import cell, covered, distance_to_ring, planar_m, within
 from waymark.operators.graph import saved
 from waymark.operators.relational import keep_first
 
@@ -64,3 +64,17 @@ def polygons_of(points: DataFrame, areas: DataFrame, size: float, boundary: bool
     test: Column = (covered if boundary else within)(F.col("x"), F.col("y"), F.col("ring"))
     joined = placed.join(spread, ["cx", "cy"]).where(boxes).where(test)
     return joined.select(*points.columns, "area_id")
+
+
+def near_areas(points: DataFrame, parts: DataFrame, metres: float, size: float) -> DataFrame:
+    """id and area_id of points(id, x, y) that are in an area or at most so far from it; each pair once.
+
+    parts: area_id and ring; an area may have several, and a point is near it if it is near any: no union is made.
+    """
+    span = lambda low, high: F.explode(F.sequence(cell(low - metres, size), cell(high + metres, size)))
+    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    spread = parts.select("area_id", "ring", span(F.array_min(xs), F.array_max(xs)).alias("cx"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
+    spread = spread.withColumn("cy", span(F.col("y0"), F.col("y1"))).drop("y0", "y1")
+    placed = points.where("x IS NOT NULL AND y IS NOT NULL").select("id", "x", "y", cell(F.col("x"), size).alias("cx"), cell(F.col("y"), size).alias("cy"))
+    x, y, ring = F.col("x"), F.col("y"), F.col("ring")
+    return placed.join(spread, ["cx", "cy"]).where(covered(x, y, ring) | (distance_to_ring(x, y, ring) <= metres)).select("id", "area_id").distinct()

@@ -236,19 +236,6 @@ def e18_changes(spark: SparkSession, d: str) -> DataFrame:
     return scenario.run_scenario(origins, services, arcs, plan)[2]
 
 
-@query("e18_invariants", "SELECT 'x' AS origin_id WHERE false")
-def e18_invariants(spark: SparkSession, d: str) -> DataFrame:
-    origins, services, arcs, plan = removal(spark, d)
-    only_less = Scenario(REQUEST, removed=plan.removed)
-    changes = scenario.run_scenario(origins, services, arcs, only_less)[2]
-    return scenario.against_supply(changes, only_less).select("origin_id")
-
-
-@query("e25_result_violations", "SELECT 'x' AS origin_id WHERE false")
-def e25(spark: SparkSession, d: str) -> DataFrame:
-    return access.violations(access.access(*inputs(spark, d), REQUEST), REQUEST).select("origin_id")
-
-
 @query("e16_speed_sensitivity")
 def e16(spark: SparkSession, d: str) -> DataFrame:
     origins, services, _ = inputs(spark, d)

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.functions.text import address
 from waymark.operators.gates import first_reason
-from waymark.operators.relational import stacked
 from waymark.plans.registry import query, table
 
 
@@ -48,58 +46,12 @@ def f12(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", (name.rlike(r"\b(RED|BLUE)\b") & ~name.rlike(r"\bRING\b")).alias("review"))
 
 
-@query(
-    "e11_fallback_chain",
-    "SELECT c_custkey, coalesce(a.o_orderkey, b.peer, c_custkey * 10) AS coordinate, CASE WHEN a.o_orderkey IS NOT NULL THEN 'osm' WHEN b.peer IS NOT NULL THEN 'same_address_peer' ELSE 'geocoder' END AS source FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_totalprice > 450000 GROUP BY 1) a ON a.o_custkey = c_custkey LEFT JOIN (SELECT c_nationkey AS n, min(c_custkey) AS peer FROM customer WHERE c_acctbal > 9900 GROUP BY 1) b ON b.n = c_nationkey",
-)
-def e11(spark: SparkSession, d: str) -> DataFrame:
-    customers = table(spark, d, "customer")
-    osm = table(spark, d, "orders").where("o_totalprice > 450000").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderkey").alias("osm"))
-    peers = customers.where("c_acctbal > 9900").groupBy("c_nationkey").agg(F.min("c_custkey").alias("peer"))
-    joined = customers.join(osm, "c_custkey", "left").join(peers, "c_nationkey", "left")
-    source = first_reason((F.col("osm").isNotNull(), "osm"), (F.col("peer").isNotNull(), "same_address_peer"), otherwise="geocoder")
-    return joined.select("c_custkey", F.coalesce("osm", "peer", F.col("c_custkey") * 10).alias("coordinate"), source.alias("source"))
-
-
 @query("e12_exclusion_leaks", "SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 = 0 AND s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_quantity = 1)")
 def e12(spark: SparkSession, d: str) -> DataFrame:
     final = table(spark, d, "lineitem").where("l_quantity = 1").select(F.col("l_suppkey").alias("s_suppkey"))
     return table(spark, d, "supplier").where("s_suppkey % 7 = 0").select("s_suppkey").join(final, "s_suppkey", "left_semi")
 
 
-@query(
-    "e13_finalization",
-    "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN a >= 90 AND m >= 12 AND (n >= 40 OR far <= 100) THEN 'promoted' WHEN far <= 100 THEN 'confirmed' WHEN far > 250 THEN 'conflict' ELSE 'review' END AS status FROM (SELECT *, l_quantity * 2 AS a, l_discount * 200 AS m, l_tax * 1000 AS n, (l_partkey % 50) * 8 AS far FROM lineitem)",
-)
-def e13(spark: SparkSession, d: str) -> DataFrame:
-    score, margin, name, apart = F.col("l_quantity") * 2, F.col("l_discount") * 200, F.col("l_tax") * 1000, (F.col("l_partkey") % 50) * 8
-    status = first_reason(((score >= 90) & (margin >= 12) & ((name >= 40) | (apart <= 100)), "promoted"), (apart <= 100, "confirmed"), (apart > 250, "conflict"), otherwise="review")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", status.alias("status"))
-
-
-@query(
-    "e14_service_layer",
-    "SELECT 'EDUCATION::' || CAST(s_suppkey AS VARCHAR) AS service_site_id, 'education' AS domain, s_name AS name, CAST(NULL AS VARCHAR) AS address FROM supplier UNION ALL SELECT 'HEALTH::' || CAST(p_partkey AS VARCHAR), 'health', p_name, p_brand || ' ' || p_type FROM part WHERE p_size > 25",
-)
-def e14(spark: SparkSession, d: str) -> DataFrame:
-    named = lambda domain, key: F.concat(F.lit(f"{domain.upper()}::"), F.col(key).cast("string"))
-    schools = table(spark, d, "supplier").select(named("education", "s_suppkey").alias("service_site_id"), F.lit("education").alias("domain"), F.col("s_name").alias("name"))
-    health = table(spark, d, "part").where("p_size > 25").select(named("health", "p_partkey").alias("service_site_id"), F.lit("health").alias("domain"), F.col("p_name").alias("name"), address(F.col("p_brand"), F.col("p_type")).alias("address"))
-    return stacked(schools, health)
-
-
 @query("s7_address_index", "SELECT l_suppkey % 50 AS street, l_partkey % 40 AS number, count(*) AS accesses, count(DISTINCT l_orderkey) AS ids FROM lineitem GROUP BY 1, 2")
 def s7(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy((F.col("l_suppkey") % 50).alias("street"), (F.col("l_partkey") % 40).alias("number")).agg(F.count("*").alias("accesses"), F.count_distinct("l_orderkey").alias("ids"))
-
-
-@query("e2_demographic_violations", "SELECT c_custkey FROM customer WHERE c_acctbal < 0 OR c_nationkey NOT IN (SELECT n_nationkey FROM nation)")
-def e2(spark: SparkSession, d: str) -> DataFrame:
-    customers = table(spark, d, "customer")
-    orphans = customers.join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"), "left_anti")
-    return customers.where("c_acctbal < 0").select("c_custkey").union(orphans.select("c_custkey")).distinct()
-
-
-@query("e1_ambiguous_names", "SELECT p_name, count(*) AS n FROM part WHERE p_brand = 'Brand#1' GROUP BY 1 HAVING count(*) > 1")
-def e1(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").where("p_brand = 'Brand#1'").groupBy("p_name").agg(F.count("*").alias("n")).where("n > 1")

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
 SEPARATORS = (";", ",", "\t", "|")
-SPARK_NAMES = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}
+#: The reader doesn't take Windows-1252; it differs from Latin-1 in these bytes only.
+WINDOWS = {bytes([b]).decode("latin-1"): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 class SourceError(ValueError):
@@ -45,7 +46,12 @@ def dialect(head: bytes, least_columns: int = 2) -> tuple[str, str]:
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV as text columns; its dialect comes from the first lines, which Spark's own reader fetches."""
     encoding, separator = dialect(first_lines(spark, path))
-    return spark.read.options(header=True, sep=separator, encoding=SPARK_NAMES.get(encoding, encoding), mode="FAILFAST").csv(path)
+    name = "UTF-8" if encoding.startswith("utf") else "ISO-8859-1"
+    df = spark.read.options(header=True, sep=separator, encoding=name, mode="FAILFAST").csv(path)
+    if encoding != "cp1252":
+        return df
+    plain = str.maketrans(WINDOWS)
+    return df.select(*[F.translate(F.col(f"`{c}`"), "".join(WINDOWS), "".join(WINDOWS.values())).alias(c.translate(plain)) for c in df.columns])
 
 
 def first_lines(spark: SparkSession, path: str, lines: int = 20) -> bytes:
