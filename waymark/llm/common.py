@@ -107,8 +107,8 @@ def squeezed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def compress(text: bytes) -> bytes:
-    return zstandard.compress(text, 1)
+def compress(text: bytes, level: int = 1) -> bytes:
+    return zstandard.compress(text, level)
 
 
 def unpacked(column: pa.Array) -> list[bytes | None]:

@@ -244,7 +244,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 host, path = place(url)
                 hashes = [text_hash(t.encode()) for t, _ in lines]
                 body = "\n".join(t for t, _ in lines).encode()
-                rows.append((page_id, url, text_hash(f"{url}\n{page}".encode()), host, path, text_hash(body), hashes, "".join(k for _, k in lines), compress(body)))
+                rows.append((page_id, url, text_hash(f"{url}\n{page}".encode()), host, path, text_hash(body), hashes, "".join(k for _, k in lines), compress(body, 9)))
             yield frame(PARSED, rows)
 
     parsed = stored(pages.mapInArrow(read, PARSED))
