@@ -6,8 +6,8 @@ a new one opened.  What is still open when a partition ends goes to a second pas
 `merge_factor` partitions by best fit in decreasing order.  Tasks hold windows' fill levels and pieces, never texts.
 
 `Words` gives the ids of the public tokenizer: it splits at white space and looks each chunk up in a bounded cache;
-ASCII chunks that are new are encoded by byte pairs, others by `tokenizers` itself, whose Unicode tables aren't
-Python's.  Texts that hold a special token's string go through `tokenizers` whole.
+chunks of ASCII and Latin-1 letters that are new are encoded by byte pairs, others by `tokenizers` itself, whose Unicode
+tables aren't Python's.  Texts that hold a special token's string go through `tokenizers` whole.
 
 Defined results: a null or empty text is its end token alone; every input row is packed, repeated rows too; an empty
 table gives no rows; further columns are ignored.
@@ -33,6 +33,7 @@ from waymark.llm.common import as_documents, partitions, runs
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer does not
 SPACE = regex.compile(r"\s+")
+LATIN = regex.compile("[!-~À-ÖØ-öø-ÿ]+")  # ASCII and the letters of Latin-1, whose normal form and lower case are the same in all tables
 LONG = 100  # characters of a chunk above which it is not kept
 
 
@@ -72,7 +73,7 @@ class Words:
 
     def chunk(self, text: str) -> bytes:
         """Ids of a text without white space."""
-        if not text.isascii():
+        if not text.isascii() and not LATIN.fullmatch(text):
             return self.whole(text)
         lowered = text.lower()
         parts = [lowered] if lowered.isalpha() else self.parts.findall(lowered)
