@@ -160,6 +160,16 @@ def test_chats_round_trip(spark):
     assert chat_format.format_chats(df.where("false")).count() == 0
 
 
+def test_leaks_of_a_benchmark_searched_in_parts(spark):
+    items = [(k, prose(9000 + k, 20 + k)) for k in range(30)] + [(None, prose(9100, 30)), (None, prose(9101, 30)), (3, prose(9102, 30))]
+    rows = [(i, prose(i, 150) + " " + items[i][1] + " " + prose(700 + i, 60) if i < len(items) else prose(i, 200)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items + items[:5], "item_id long, text string")
+    result = lambda **more: sorted((tuple(r) for r in decontaminate.find_leaks(docs, benchmark, **more).select("doc_id", "item_id").collect()), key=str)
+    whole, parts = result(), result(most_items=4)
+    assert whole == parts == sorted([(i, items[i][0]) for i in range(len(items))], key=str)
+
+
 def test_leaks_are_found_and_clean_documents_are_not(spark, none):
     items = [(k, prose(9000 + k, 20 + k) + ". " + prose(9500 + k, 6) + ".") for k in range(12)]
     rows = [(i, prose(i, 300)) for i in range(120)]

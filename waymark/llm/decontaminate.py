@@ -7,14 +7,16 @@
    x dimensions, whatever the corpus).  There are as many parts as two a core, so that they don't grow with the corpus.
    Singular values are scaled out, so that what all passages share weighs no more than the rest.
 3. Every window of every document, at the lengths that the items have and with half-length steps, is projected and
-   compared with all items by cosine.  The items go to every task: at most `most_items` of them, else it refuses.
+   compared with all items by cosine.  The items go to every task; more than `most_items` of them are dealt by hash
+   into parts of about nine tenths of that, and all windows are searched for one part after another.
 4. Candidates are verified: longest common subsequence of words in the window and its surroundings, as a share of the
    item; below `verbatim`, a paraphrase must reach `paraphrase` and hold the item's answer in order.  The answer is the
    last sentence: all of it up to `SHORT` words, else a share of `verbatim`.  A last sentence of more than half the
    item's words, such as the only one, is no answer apart; then half of its rarer half has to be there.
 
 Defined results: null and empty texts match nothing; items of fewer than `least_words` words are not searched for; a
-pair of document and item gives one row, its best place; rows with a null doc_id are searched and reported as such;
+pair of document and item gives one row, its best place; items equal in item_id and text are one, others that share an
+item_id (or have none) are items of their own; rows with a null doc_id are searched and reported as such;
 empty tables give no rows; further columns are ignored.
 """
 
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import as_documents, checkpointed, runs
+from waymark.llm.common import as_documents, checkpointed, runs, stored
 
 BITS, BLOCKS = 16, 64
 TERMS = 1 << BITS
@@ -77,12 +79,14 @@ class Item:
         self.needed = int(np.ceil(share * len(self.answer) - 1e-9))
 
 
-def read_items(benchmark: DataFrame, least_words: int, most_items: int) -> list[Item]:
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL").limit(most_items + 1).collect()
-    if len(rows) > most_items:
-        raise ValueError(f"more than {most_items} benchmark items; search for them in parts")
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """item_id and text of the benchmark's different items."""
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
+
+
+def read_items(benchmark: DataFrame, least_words: int) -> list[Item]:
     ids, out = Ids(), []
-    for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"])):
+    for r in sorted(benchmark.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])):
         words = ids.of(r["text"]).tolist()
         if len(words) >= least_words:
             answer = next((a for s in reversed(SENTENCE.split(r["text"])) if (a := ids.of(s).tolist())), words)
@@ -231,15 +235,30 @@ def find_leaks(
 ) -> DataFrame:
     """doc_id, item_id, similarity (cosine), lcs_share, answer_found, and the window's first word and length."""
     words = checkpointed(looked_up(as_documents(docs)))
-    items = read_items(benchmark, least_words, most_items)
+    different = stored(items_of(benchmark))
+    n_items = different.count()
     of_items = looked_up(benchmark.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     frequency, n = document_frequencies(words.unionByName(of_items))
-    for item in items:
-        item.settle(frequency, verbatim)
     idf = np.log((1 + n) / (1 + frequency)).astype(np.float32)
     basis = fit_basis(words, idf, dimensions) * idf[:, None]
+    parts = 1 if n_items <= most_items else -(-n_items * 10 // (most_items * 9))
+    of_part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    found = None
+    for part in range(parts):
+        items = read_items(different.where(of_part == part), least_words)
+        for item in items:
+            item.settle(frequency, verbatim)
+        leaks = search_items(words, items, basis, cosine, verbatim, paraphrase)
+        if parts > 1:
+            leaks = stored(leaks)
+        found = leaks if found is None else found.unionByName(leaks)
+    return found
+
+
+def search_items(words: DataFrame, items: list[Item], basis: np.ndarray, cosine: float, verbatim: float, paraphrase: float) -> DataFrame:
+    """The leaks of these items, in the columns of FOUND."""
+    dimensions, groups = basis.shape[1], []
     lengths = sorted({window_length(len(i.ids)) for i in items})
-    groups = []
     for length in lengths:
         own = [i for i in items if window_length(len(i.ids)) == length]
         vectors = np.array([basis[np.array(i.ids, np.uint32) & np.uint32(TERMS - 1)].sum(axis=0) for i in own])
@@ -258,7 +277,7 @@ def find_leaks(
             for w, end, n in zip(words, ends.tolist(), room.tolist(), strict=True):
                 flat[end - n : end - n + len(w)] = w & np.uint32(TERMS - 1)
             sums = np.concatenate([padded[some].reshape(-1, base, dimensions).sum(axis=1) for some in np.split(flat, range(1 << 16, len(flat), 1 << 16))]) if len(flat) else np.zeros((0, dimensions), np.float32)
-            best: dict[tuple[int, int], tuple] = {}
+            best: dict[tuple[int, int, int], tuple] = {}
             step = base
             for length, own, vectors in groups:
                 while step < length // 2:
@@ -271,15 +290,15 @@ def find_leaks(
                 owners = np.searchsorted(ends, hits * step, side="right")
                 for w, k, d in zip(hits.tolist(), which.tolist(), owners.tolist(), strict=True):
                     item, s = own[k], w * step - int(ends[d] - room[d])
-                    known = best.get((d, item.item_id), (0,))[0]
+                    known = best.get((d, length, k), (0,))[0]
                     if known == 1:
                         continue
                     near = words[d][max(0, s - length // 2) : s + 3 * length // 2].tolist()
                     if (share := lcs(item.at, len(item.ids), near) / len(item.ids)) >= paraphrase and share > known:
                         answered = lcs(item.answer_at, len(item.answer), near) >= item.needed
                         if share >= verbatim or answered:
-                            best[d, item.item_id] = (share, float(scores[w, k] / norms[w]), answered, s)
-            rows = [(doc_ids[d], i, sim, share, answered, s, len(words[d])) for (d, i), (share, sim, answered, s) in best.items()]
+                            best[d, length, k] = (share, float(scores[w, k] / norms[w]), answered, s, item.item_id)
+            rows = [(doc_ids[d], i, sim, share, answered, s, len(words[d])) for (d, _, _), (share, sim, answered, s, i) in best.items()]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")])
