@@ -2,8 +2,9 @@
 
 Every partition keeps a fixed number of open windows.  A document's tokens and its end token are cut into whole
 windows; the rest goes to the open window where it leaves least room; where none has room, the fullest is emitted and
-a new one opened.  What is still open when a partition ends goes to a second pass, which merges the leftovers of
-`merge_factor` partitions by best fit in decreasing order.  Tasks hold windows' fill levels and pieces, never texts.
+a new one opened.  The pieces are written to the checkpoint folder; those of windows that were still open when their
+partition ended go to a second pass, which merges the leftovers of `merge_factor` partitions by best fit in decreasing
+order.  Only these are shuffled.  Tasks hold windows' fill levels and pieces, never texts.
 
 `Words` gives the ids of the public tokenizer: it splits at white space and looks each chunk up in a bounded cache;
 chunks of ASCII and Latin-1 letters that are new are encoded by byte pairs, others by `tokenizers` itself, whose Unicode
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from waymark.llm.common import as_documents, partitions, runs
+from waymark.llm.common import as_documents, partitions, runs, stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer does not
@@ -137,7 +138,7 @@ class Windows:
         return out
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, open_windows: int = 64, merge_factor: int = 16) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, open_windows: int = 64, merge_factor: int = 8) -> DataFrame:
     """The pieces of all documents, in the columns of PIECES; sequence_id numbers windows, with gaps."""
     end = end_id.to_bytes(4, "little")
 
@@ -182,19 +183,16 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, o
             return frame(rows).select(names)
 
         for batch in batches:
-            left = batch.column("leftover")
-            yield batch.filter(pa.compute.invert(left)).select(names)
-            for row in zip(*[c.to_pylist() for c in batch.filter(left).columns], strict=True):
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 key = (row[5] >> 32) // merge_factor
                 if key != group:
                     yield merged()
                     group = key
-                held.setdefault(row[5], []).append(row[:7])
+                held.setdefault(row[5], []).append(row)
         yield merged()
 
     names = [x.split()[0] for x in PIECES.split(", ")]
-    pieces = as_documents(docs).mapInArrow(first, f"{PIECES}, leftover boolean")
-    task = F.shiftright("sequence_id", 32)
-    key = F.when(F.col("leftover"), F.floor(task / merge_factor)).otherwise(-1 - task)
-    dealt = pieces.repartition(partitions(docs.sparkSession), key).sortWithinPartitions("leftover", "sequence_id", "offset")
-    return dealt.mapInArrow(second, PIECES)
+    pieces = stored(as_documents(docs).mapInArrow(first, f"{PIECES}, leftover boolean"))
+    group = F.floor(F.shiftright("sequence_id", 32) / merge_factor)
+    dealt = pieces.where("leftover").select(names).repartition(partitions(docs.sparkSession), group).sortWithinPartitions("sequence_id", "offset")
+    return pieces.where("NOT leftover").select(names).unionByName(dealt.mapInArrow(second, PIECES))
