@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import fuzzy, geo, hashes, numbers, text
 from waymark.operators import spatial
+from waymark.operators.relational import ContractError
 from waymark.sources import readers, sinks
 
 
@@ -90,3 +91,26 @@ def test_sources_and_sinks(spark, tmp_path):
     sinks.canonical_csv(df, "k", tmp_path / "out.csv")
     assert (tmp_path / "out.csv").read_text() == "k,v\n1,0.10000000000000001\n2,\n"
     assert readers.inventory(spark, str(tmp_path / "a.zip")).first()["length"] > 0
+
+
+def test_published_results_and_source_states(spark, tmp_path):
+    df = spark.createDataFrame([(2, "č"), (1, None)], "k int, v string")
+    said = sinks.publish(df, tmp_path, "sites", "k", {"graph": "abc"})
+    assert said["rows"] == 2 and sinks.publish(df, tmp_path, "sites", "k", {"graph": "abc"}) == said
+    assert (tmp_path / "sites.csv").read_bytes() == "\ufeffk,v\n1,\n2,č\n".encode()
+    sinks.verify_inputs(tmp_path / "sites.json", {"graph": "abc"})
+    with pytest.raises(ContractError, match="another graph"):
+        sinks.verify_inputs(tmp_path / "sites.json", {"graph": "abd"})
+    with pytest.raises(FileExistsError):
+        sinks.publish(df.where("k = 1"), tmp_path, "sites", "k", {"graph": "abc"})
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name in ("osm_20250102T030405Z.parquet", "osm_20260102T030405Z.parquet", "osm_latest.parquet", "mim.csv"):
+        (folder / name).write_text(name)
+    assert readers.latest_snapshot(folder, "osm_").name == "osm_20260102T030405Z.parquet"
+    with pytest.raises(readers.SourceError):
+        readers.latest_snapshot(folder, "health_")
+    wanted = {"schools": r"mim\.csv", "osm": r"osm_\d.*", "census": r"istat.*"}
+    states = readers.source_states(spark, str(folder), wanted)
+    assert {r["source"]: (r["state"], r["length"]) for r in states.collect()} == {"schools": ("ready", 7), "osm": ("ambiguous", None), "census": ("missing", None)}
+    assert not readers.all_ready(states) and readers.all_ready(states.where("source = 'schools'"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
 from pathlib import Path
 
@@ -102,3 +103,27 @@ def zipped_rows(spark: SparkSession, path: str, columns: tuple[str, ...], separa
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, length, sha256."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def source_states(spark: SparkSession, folder: str, wanted: dict[str, str]) -> DataFrame:
+    """One row per wanted source (its name, and a regular expression that its file's whole name matches): state, path,
+    length, sha256.  A source is ready if one file matches, missing if none does, ambiguous if several do."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = inventory(spark, folder).withColumn("found", F.array_compact(F.array(*[F.when(name.rlike(f"^(?:{p})$"), F.lit(s)) for s, p in sorted(wanted.items())])))
+    one = files.select(F.explode("found").alias("source"), "path", "length", "sha256").groupBy("source").agg(F.count("*").alias("n"), F.min(F.struct("path", "length", "sha256")).alias("file"))
+    names = spark.createDataFrame([(s,) for s in sorted(wanted)], "source string")
+    state = F.when(F.col("n") == 1, "ready").when(F.col("n") > 1, "ambiguous").otherwise("missing")
+    shown = [F.when(F.col("n") == 1, F.col(f"file.{c}")).alias(c) for c in ("path", "length", "sha256")]
+    return names.join(one, "source", "left").select("source", state.alias("state"), *shown)
+
+
+def all_ready(states: DataFrame) -> bool:
+    return states.where("state <> 'ready'").isEmpty()
+
+
+def latest_snapshot(folder: str | Path, prefix: str, suffix: str = ".parquet") -> Path:
+    """The file or folder whose name has the latest timestamp (digits, T and Z after the prefix) of all."""
+    stamped = [p for p in Path(folder).glob(f"{prefix}*{suffix}") if re.fullmatch(r"[0-9][0-9TZ_-]*", p.name[len(prefix) : len(p.name) - len(suffix)])]
+    if not stamped:
+        raise SourceError(f"no {prefix}<time>{suffix} in {folder}")
+    return max(stamped, key=lambda p: re.sub(r"\D", "", p.name[len(prefix) :]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from waymark.functions.hashes import canonical, table_digest
+from waymark.operators.relational import ContractError
 
 
 def stamped(df: DataFrame, **digests: str) -> DataFrame:
@@ -32,10 +33,10 @@ def write_once(df: DataFrame, path: str) -> str:
     return digest
 
 
-def canonical_csv(df: DataFrame, key: str, path: str | Path) -> None:
+def canonical_csv(df: DataFrame, key: str, path: str | Path, encoding: str = "utf-8") -> None:
     """A report for people: rows by key, floats with 17 digits, empty nulls, line feeds; streamed through the driver."""
     show = lambda v: "" if v is None else format(v, ".17g") if isinstance(v, float) else str(v)
-    with open(path, "w", encoding="utf-8", newline="") as file:
+    with open(path, "w", encoding=encoding, newline="") as file:
         file.write(",".join(df.columns) + "\n")
         for row in df.orderBy(key).toLocalIterator():
             file.write(",".join(show(v) for v in row) + "\n")
@@ -50,6 +51,27 @@ def write_manifest(path: str | Path, content: dict) -> None:
     file.write_text(text, encoding="utf-8")
 
 
+def publish(df: DataFrame, folder: str | Path, name: str, key: str, inputs: dict[str, str] | None = None) -> dict:
+    """A result as three files: Parquet, a CSV that spreadsheets read as UTF-8, and a manifest with the number of rows,
+    the columns, the content's digest and those of its inputs.  The manifest comes last: where it is, all is.
+
+    What is there already stays if it is the same and is an error otherwise."""
+    folder = Path(folder)
+    digest = write_once(df, str(folder / f"{name}.parquet"))
+    written = df.sparkSession.read.parquet(str(folder / f"{name}.parquet")).select(df.columns)
+    canonical_csv(written, key, folder / f"{name}.csv", "utf-8-sig")
+    manifest = {"name": name, "rows": written.count(), "columns": dict(df.dtypes), "sha256": digest, "inputs": inputs or {}}
+    write_manifest(folder / f"{name}.json", manifest)
+    return manifest
+
+
+def verify_inputs(manifest: str | Path, inputs: dict[str, str]) -> None:
+    """Refuses a result that wasn't made from inputs of these digests."""
+    held = json.loads(Path(manifest).read_text(encoding="utf-8"))["inputs"]
+    if wrong := sorted(k for k, v in inputs.items() if held.get(k) != v):
+        raise ContractError(f"{manifest} was made from another {', '.join(wrong)}")
+
+
 def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
     """A table without rows, with its types."""
     return spark.createDataFrame([], schema)
