@@ -76,3 +76,17 @@ def test_csv_encodings(spark, tmp_path, encoding, word):
 def test_any_accent_folds(spark):
     got = spark.createDataFrame([("Kočevar Šimić",), ("e\u0301tude ﬁne",), ("Ǆ Straße",)], "t string").select(text.fold(F.col("t"))).collect()
     assert [r[0] for r in got] == ["KOCEVAR SIMIC", "ETUDE FINE", "DZ STRASSE"]
+
+
+def test_equal_texts_are_scored_once_and_equal_questions_answered_once(spark):
+    (_, sources), (_, candidates) = places(spark, "source_id", 24, 5), places(spark, "candidate_id", 30, 7)
+    sources = sources.unionByName(sources.withColumn("source_id", F.concat(F.lit("copy"), "source_id")))
+    texts = resolution.blocked(sources, candidates)
+    pairs = resolution.scored(sources, candidates)
+    assert texts.columns == ["kind", "area", "a_name", "a_address", "b_name", "b_address"] and 2 * texts.count() == pairs.count()
+    assert pairs.select("source_id", "candidate_id").distinct().count() == pairs.count()
+    towns = resolution.dimension(spark.createDataFrame([("1", "Roma", "RM", "L"), ("2", "ROMA", "XX", "L"), ("3", "Bari", "BA", "P")], "istat_code string, name string, province_code string, region_code string"))
+    names = spark.createDataFrame([(1, "roma", None, None), (2, "Roma", None, None), (3, "Roma", "RM", None), (4, "Bari", None, "P"), (5, "Bari", "RM", None), (6, None, None, None)], "query_id int, name string, province_code string, region_code string")
+    got = {r["query_id"]: (r["status"], r["istat_code"], r["candidates"]) for r in resolution.resolve_names(names, towns).collect()}
+    both = ("ambiguous", None, ["1", "2"])
+    assert got == {1: both, 2: both, 3: ("resolved", "1", ["1"]), 4: ("resolved", "3", ["3"]), 5: ("unknown", None, []), 6: ("unknown", None, [])}
