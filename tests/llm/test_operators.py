@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -113,6 +114,21 @@ def test_matching_statistics_equal_brute_force():
         assert len(index.rows) < index.n
 
 
+def test_anchors_that_occur_once_are_not_unpacked_together():
+    rng = np.random.default_rng(4)
+    rows = np.zeros(600_000, suffix_dedup.ROW)
+    rows["h"], rows["pos"] = rng.choice(1 << 31, len(rows), replace=False), rng.integers(0, 5000, len(rows))
+    rows["h"][::50] = rows["h"][1::50]
+    rows["left"][7] = suffix_dedup.MARK
+    blobs = [suffix_dedup.pack_rows(x) for x in np.array_split(rows, 60)]
+    tracemalloc.start()
+    kept, marked = suffix_dedup.repeated(blobs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.7 * rows.nbytes and marked.tolist() == [rows["h"][7]]
+    assert sorted(kept["h"].tolist()) == sorted([*rows["h"][::50].tolist(), *rows["h"][1::50].tolist()])
+
+
 def test_suffix_dedup_over_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 400)
     dice = random.Random(1)
