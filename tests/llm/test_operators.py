@@ -314,6 +314,38 @@ def test_similar_documents_have_most_shingles_in_common(spark, docs, none):
     assert simhash.similar_documents(docs).count() == docs.count() and simhash.similar_documents(none).count() == 0
 
 
+def test_similar_documents_equal_brute_force(spark, docs):
+    """No link of 0.8 or more is left out, none below it is there; exchanged words bring the pairs close to it."""
+    dice, rows = random.Random(5), [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None and r["doc_id"] < 400]
+    for k in range(150):
+        words = prose(9000 + k, dice.randrange(8, 260)).split()
+        rows.append((10_000 + 10 * k, " ".join(words)))
+        for j in range(1, 4):
+            for _ in range(max(1, len(words) // 60)):
+                words[dice.randrange(len(words))] = f"x{k}y{dice.randrange(10**6)}"
+            rows.append((10_000 + 10 * k + j, " ".join(words)))
+    rows += [(20_000 + k, "the same opening words are here " + prose(100 + k, 9)) for k in range(80)]  # a crowded shingle
+    rows = list({i: (i, t) for i, t in rows}.values())
+    sets = {i: set(simhash.shingles((t or "").encode(), 5)) for i, t in rows}
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    borderline = 0
+    for a in sorted(sets):
+        for b in sorted(sets):
+            both, all_ = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            if a < b and (10 * both >= 8 * all_):
+                borderline += 10 * both < 8.5 * all_
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame(rows, DOC).repartition(5)).collect()}
+    assert borderline > 20 and got == {i: find(i) for i, _ in rows}
+
+
 def test_quality_counts_equal_brute_force(docs, rows, none):
     got = quality_rules.score_quality(docs).collect()
 

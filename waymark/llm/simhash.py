@@ -18,7 +18,8 @@ differ as do on average at that similarity, and one standard error more.
 
 Defined results: a null or empty text has fingerprint zero and links like any other; a text of fewer words than a
 shingle is one shingle; rows with a null doc_id get a fingerprint, and the component of the rows that share it; every
-row of the input gives one row; an empty table gives no rows; further columns are ignored.
+row of the input gives one row; an empty table gives no rows; further columns are ignored.  `similar_documents` tells
+texts apart by 64 bits.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ SEED, HALF, THRESHOLD = 42, 32, 3
 CODES, WORD, LOOSE = 128, 27, 18  # codes over 256 bits, the bits of each, and how many of the first 64 a pair may differ in
 SMALL = 32  # rows of an anchor up to which it emits its links as they are
 PAIRS = 1 << 22  # comparisons at a time
+OFTEN, MOST_OFTEN = 8, 100_000  # documents of a batch from which a shingle counts as frequent, and how many are known as such
+MOST_NODES = 1_000_000  # rows up to which a table of their numbers goes to all tasks
 
 
 def shingles(text: bytes, width: int) -> list[bytes]:
@@ -67,15 +70,6 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(majority(np.fromiter([digest(x, SEED) for x in some], np.uint64, len(some)).reshape(-1, 1))[0])
 
 
-def wide_fingerprint(text: bytes, width: int, prints: int) -> np.ndarray:
-    """`prints` fingerprints, two from each 128-bit hash."""
-    some, digest = shingles(text, width), xxhash.xxh3_128_digest
-    if not some:
-        return np.zeros(prints, np.uint64)
-    columns = [np.frombuffer(b"".join([digest(x, seed) for x in some]), np.uint64).reshape(-1, 2) for seed in range((prints + 1) // 2)]
-    return majority(np.ascontiguousarray(np.concatenate(columns, axis=1)[:, :prints]))
-
-
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long."""
 
@@ -199,34 +193,170 @@ def words_of(prints: np.ndarray, code: int) -> np.ndarray:
     return out
 
 
+def marks_of(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """256 bits of fingerprint, and the hashes of the distinct shingles, ascending."""
+    some, digest = shingles(text, width), xxhash.xxh3_128_digest
+    if not some:
+        return np.zeros(4, np.uint64), np.zeros(0, np.uint64)
+    columns = [np.frombuffer(b"".join([digest(x, seed) for x in some]), np.uint64).reshape(-1, 2) for seed in (0, 1)]
+    return majority(np.concatenate(columns, axis=1)), np.unique(columns[0][:, 0])
+
+
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """The set that marks_of has."""
+    return np.unique(np.frombuffer(b"".join([xxhash.xxh3_128_digest(x, 0) for x in shingles(text, width)]), np.uint64)[::2])
+
+
+def prefix(some: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The shingles of a set, rare ones first, of which two sets of this similarity share one at least.
+
+    common: hashes, ascending, and counts of those known to be frequent; any order that all sets follow will do."""
+    names, counts = common
+    at = np.minimum(np.searchsorted(names, some), max(0, len(names) - 1))
+    often = np.where(names[at] == some, counts[at], 0) if len(names) else np.zeros(len(some), np.int64)
+    return some[np.lexsort((some, often))][: len(some) - int(np.ceil(similarity * len(some) - 1e-9)) + 1] if len(some) else some
+
+
+def meeting(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Rows (shingle, n, place, row, part) sorted by shingle and n to pairs (a, b, na, nb) of different parts that may have
+    this similarity, once a shared shingle: by their numbers of shingles, and by what can be common before and after it."""
+
+    def may(i: np.ndarray, j: np.ndarray, n: np.ndarray, place: np.ndarray, part: np.ndarray) -> np.ndarray:
+        shared = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])
+        return (part[i] != part[j]) & (n[i] >= similarity * n[j] - 1e-9) & (shared >= similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9)
+
+    def pairs(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        shingle, n, place, row, part = held
+        starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+        sizes = np.diff(np.r_[starts, len(shingle)])
+        mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+        small, out = np.repeat((sizes <= SMALL) & mixed, sizes), []
+        for shift in range(1, min(SMALL, int(sizes.max()))):
+            i = np.flatnonzero((shingle[shift:] == shingle[:-shift]) & small[shift:])
+            i = i[may(i, i + shift, n, place, part)]
+            out.append((i, i + shift))
+        for s, size in zip(starts[(sizes > SMALL) & mixed].tolist(), sizes[(sizes > SMALL) & mixed].tolist(), strict=True):
+            last = s + np.searchsorted(n[s : s + size], n[s : s + size] / similarity + 1e-6, side="right")  # sorted by n
+            many = last - np.arange(s, s + size) - 1
+            for some in np.split(np.arange(size), np.flatnonzero(np.diff(np.cumsum(many) // PAIRS)) + 1):
+                i = np.repeat(s + some, many[some])
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many[some]) - many[some], many[some])
+                good = may(i, j, n, place, part)
+                yield edges(i[good], j[good], n, row)
+        if out:
+            yield edges(*(np.concatenate(x) for x in zip(*out, strict=True)), n, row)
+
+    def edges(i: np.ndarray, j: np.ndarray, n: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+        turned = row[i] > row[j]
+        i, j = np.where(turned, j, i), np.where(turned, i, j)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (row[i], row[j], n[i], n[j])], ["a", "b", "na", "nb"])
+
+    held: list[np.ndarray] = []
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
+        if len(held[0]) and (cut := int(np.searchsorted(held[0], held[0][-1]))):  # the last shingle may go on
+            yield from pairs([x[:cut] for x in held])
+            held = [x[cut:] for x in held]
+    if held and len(held[0]):
+        yield from pairs(held)
+
+
+def alike(pairs: DataFrame, texts_of: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of rows whose sets of shingles have this Jaccard similarity or more, counted exactly."""
+    nodes = stored(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct())
+    nodes = F.broadcast(nodes) if nodes.count() <= MOST_NODES else nodes.hint("merge")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, 8 << 20):
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([shingle_set(t, width).tobytes() for t in texts(batch.column("text"))], pa.binary())], ["row", "held"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("a_held").to_pylist(), batch.column("b_held").to_pylist(), strict=True):
+                common = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+                good.append(common >= similarity * ((len(a) + len(b)) // 8 - common) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    held = stored(texts_of.join(nodes, "row", "left_semi").mapInArrow(sets, "row long, held binary").groupBy("row").agg(F.first("held").alias("held")))
+    of = lambda side: held.select(F.col("row").alias(side), F.col("held").alias(f"{side}_held")).hint("merge")
+    return stored(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_held", "b_held").mapInArrow(verify, "a long, b long"))
+
+
 def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, and component_id: the smallest doc_id reachable over links between documents whose sets of shingles have
-    this Jaccard similarity or more, as fingerprints tell; its own included."""
-    names = [f"fp{k}" for k in range(4)]
-    allowed = bits_apart(similarity, 256)
+    this Jaccard similarity or more; its own included.
+
+    Links come by the codes, then, between documents that those leave apart, by shared rare shingles, so that none is left
+    out; every one is counted exactly.
+    """
+    names = [*(f"fp{k}" for k in range(4)), "set0", "set1"]
+    allowed, prints_of = bits_apart(similarity, 256), [f"fp{k}" for k in range(4)]
+    context = docs.sparkSession.sparkContext
+    hashed = as_documents(docs).withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))  # tells texts apart, however often they are read
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, 8 << 20):
-            values = np.array([wide_fingerprint(t, width, 4) for t in texts(batch.column("text"))], np.uint64).reshape(-1, 4).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(values[:, k])) for k in range(4))], ["doc_id", *names])
+            found = [marks_of(t, width) for t in texts(batch.column("text"))]
+            keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for _, s in found), np.int64).reshape(-1, 2)
+            values = np.c_[np.array([p for p, _ in found], np.uint64).reshape(-1, 4).view(np.int64), keys]
+            shingle, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *(s for _, s in found)]), return_counts=True)
+            shingle, times = shingle[times >= OFTEN].view(np.int64), times[times >= OFTEN].astype(np.int64)
+            n, m = len(found), len(shingle)
+            columns = [pa.concat_arrays([c, pa.nulls(m, pa.int64())]) for c in (batch.column("doc_id"), batch.column("row"), *(pa.array(np.ascontiguousarray(values[:, k])) for k in range(6)))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(c)]) for c in (shingle, times))], ["doc_id", "row", *names, "shingle", "times"])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, prints = batch.column("rep"), np.stack([batch.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
+            rep, prints = batch.column("row"), np.stack([batch.column(n).to_numpy() for n in prints_of], axis=1).view(np.uint64)
             home = pa.array(np.ones(len(prints), bool))
             for code in range(CODES):
                 yield pa.RecordBatch.from_arrays([pa.array(words_of(prints, code)), batch.column("fp0"), rep, home], ["anchor", "fp", "rep", "at_home"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            apart = sum(np.bitwise_count((batch.column(f"a_{n}").to_numpy() ^ batch.column(f"b_{n}").to_numpy()).view(np.uint64)).astype(np.int64) for n in names)
+            apart = sum(np.bitwise_count((batch.column(f"a_{n}").to_numpy() ^ batch.column(f"b_{n}").to_numpy()).view(np.uint64)).astype(np.int64) for n in prints_of)
             yield batch.select(["a", "b"]).filter(pa.array(apart <= allowed))
 
-    marked = stored(as_documents(docs).mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)])))
-    reps = stored(marked.groupBy(*names).agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
-    met = reps.mapInArrow(spread, "anchor long, fp long, rep long, at_home boolean").repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor", "rep")
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, 8 << 20):
+            sets = [shingle_set(t, width) for t in texts(batch.column("text"))]
+            first = [prefix(s, common.value, similarity).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.binary())], ["row", "n", "first"])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = [np.frombuffer(x, np.int64) for x in batch.column("first").to_pylist()]
+            sizes = [len(x) for x in first]
+            places = np.concatenate([np.zeros(0, np.int64), *(np.arange(k) for k in sizes)])
+            repeated = [np.repeat(batch.column(k).to_numpy(), sizes) for k in ("n", "row", "part")]
+            columns = [np.concatenate([np.zeros(0, np.int64), *first]), repeated[0], places, *repeated[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "n", "place", "row", "part"])
+
+    parts = partitions(docs.sparkSession)
+    found = stored(hashed.mapInArrow(run, ", ".join(f"{n} long" for n in ["doc_id", "row", *names, "shingle", "times"])))
+    marked = found.where("row IS NOT NULL").select("doc_id", *names, "row")
+    reps = stored(marked.groupBy(*names).agg(F.min("doc_id").alias("least"), F.min("row").alias("row")).where("least IS NOT NULL"))
+    met = reps.mapInArrow(spread, "anchor long, fp long, rep long, at_home boolean").repartition(parts, "anchor").sortWithinPartitions("anchor", "rep")
     candidates = met.mapInArrow(lambda batches: link(batches, LOOSE), "a long, b long").distinct()
-    of = lambda side: reps.select(F.col("rep").alias(side), *[F.col(n).alias(f"{side}_{n}") for n in names])
-    found = components(candidates.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").mapInArrow(verify, "a long, b long"))
-    of_print = reps.join(found, reps["rep"] == found["node"], "left").select(*names, F.coalesce("root", "rep").alias("component_id"))
-    return marked.join(of_print.hint("merge"), names, "left").select("doc_id", "component_id")
+    of = lambda side: reps.select(F.col("row").alias(side), *[F.col(n).alias(f"{side}_{n}") for n in prints_of])
+    close = stored(candidates.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").mapInArrow(verify, "a long, b long"))
+    links = alike(close, hashed.select("row", "text"), width, similarity)
+    grouped = components(links)
+    often = found.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(MOST_OFTEN).toArrow()
+    shingle, times = often["shingle"].to_numpy().view(np.uint64), often["times"].to_numpy()
+    order = np.argsort(shingle)
+    common = context.broadcast((shingle[order], times[order]))
+    of_row = stored(reps.join(grouped, reps["row"] == grouped["node"], "left").select("row", F.coalesce("root", "row").alias("part")))
+    first = hashed.select("row", "text").mapInArrow(starts, "row long, n long, first binary").groupBy("row").agg(F.first("n").alias("n"), F.first("first").alias("first")).join(of_row.hint("merge"), "row")
+    met = first.select("row", "n", "first", "part").mapInArrow(dealt, "shingle long, n long, place long, row long, part long").repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "row")
+    together = met.mapInArrow(lambda batches: meeting(batches, similarity), "a long, b long, na long, nb long").groupBy("a", "b", "na", "nb").count()
+    # Of the pair, the text whose prefix ends first has all other common shingles behind it: at most ceil(0.8 n) - 1.
+    behind = F.greatest(*(F.ceil(similarity * F.col(n) - 1e-9) for n in ("na", "nb"))) - 1
+    rest = stored(together.where(F.col("count") + behind >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-6).select("a", "b"))
+    whole = components(links.unionByName(alike(rest, hashed.select("row", "text"), width, similarity)))
+    rooted = stored(reps.join(whole, reps["row"] == whole["node"], "left").select(*names, "least", F.coalesce("root", "row").alias("root")))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_print = rooted.join(smallest.hint("merge"), "root").select(*names, "component_id")
+    return marked.drop("row").join(of_print.hint("merge"), names, "left").select("doc_id", "component_id")
