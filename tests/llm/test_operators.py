@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -129,6 +130,22 @@ def test_anchors_that_occur_once_are_not_unpacked_together():
     assert sorted(kept["h"].tolist()) == sorted([*rows["h"][::50].tolist(), *rows["h"][1::50].tolist()])
 
 
+def test_a_bucket_of_many_blobs_takes_no_more_time_than_one_of_few():
+    rng = np.random.default_rng(6)
+    rows = np.zeros(400_000, suffix_dedup.ROW)
+    rows["h"] = np.repeat(rng.choice(1 << 31, len(rows) // 2, replace=False), 2)
+    took = {}
+    for n in (4, 200, 4, 200):
+        blobs = [suffix_dedup.pack_rows(x) for x in np.array_split(rows, n)]
+        began = time.process_time()
+        kept, marked = suffix_dedup.repeated(blobs)
+        took[n] = min(time.process_time() - began, took.get(n, np.inf))
+        assert len(kept) == len(rows) and not len(marked)
+    assert took[200] < 5 * took[4]
+    assert suffix_dedup.among(rows["h"][:3], np.zeros(0, np.uint32)).tolist() == [False] * 3
+    assert suffix_dedup.among(np.array([1, 5, 9, 12], np.uint32), np.array([5, 9], np.uint32)).tolist() == [False, True, True, False]
+
+
 def test_suffix_dedup_over_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 400)
     dice = random.Random(1)
